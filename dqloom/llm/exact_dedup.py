@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import fresh, written
 
 LONGEST = 8192  # characters; a chunk without an earlier boundary ends here
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -22,8 +22,8 @@ def _every(step: int, offset: int) -> str:
     return "[" + "".join(f"\\x{c:02X}" for c in range(0x21, 0x100) if c % step == offset) + "]"
 
 
-#: A boundary is a blank after three characters of certain residues: about one blank in a hundred or two.
-BOUNDARY = rf"(?<={_every(5, 1)}{_every(5, 2)}|{_every(6, 1)}{_every(5, 4)}) "
+#: A boundary is a blank after three characters of certain residues: about one blank in a hundred.
+BOUNDARY = rf"(?<={_every(5, 1)}{_every(5, 2)}{_every(4, 1)}|{_every(6, 1)}{_every(5, 4)}{_every(5, 0)}) "
 CHUNK = rf"(?s).{{1,{LONGEST - 1}}}?(?:{BOUNDARY}|\z)|.{{1,{LONGEST}}}"
 
 
@@ -55,7 +55,8 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     distinct = pieces.groupBy(F.xxhash64("chunk").alias("h"), "chunk").agg(F.count("*").alias("n"))
     clashes = distinct.groupBy(identifier(F.col("chunk")).alias("id")).agg(F.count("*").alias("texts")).where("texts > 1").agg(F.count("*").alias("n"))
     verified = clashes.select(F.when(F.col("n") > 0, F.raise_error(F.lit("two different chunks share an identifier"))).otherwise(F.lit(True)).cast("boolean"))
-    rows = cut.select("key", "sha", F.transform("parts", identifier).alias("recipe")).groupBy("key", "sha", "recipe").agg(F.count("*").alias("rows"))
+    recipes = cut.select("key", "sha", F.transform("parts", identifier).alias("recipe"))
+    rows = written(recipes.groupBy("key", "sha", "recipe").agg(F.count("*").alias("rows")), "recipes")
     groups = rows.groupBy("recipe").agg(F.min("key").alias("keep_id"), F.sum("rows").alias("group_size"))
     return (
         rows.join(groups, "recipe")
