@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, licenses, packing, token_count, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, licenses, packing, token_count, url_filter
 from .common import read_table
 
 
@@ -34,15 +34,20 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_license_scan, op5_packing, op6_token_counts, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_license_scan, op5_packing, op6_token_counts, op7_jaccard_join, op10_exact_dedup)}
 
 SQL = {
     "op1_decontamination": decontaminate.judged_sql(),
     "op3_license_scan": licenses.scan_sql(),
+    "op7_jaccard_join": jaccard_join.components_sql(),
     "op10_exact_dedup": r"""
 WITH d AS (SELECT DISTINCT ON (doc_id, t) doc_id, t, count(*) OVER (PARTITION BY t) AS group_size, min(doc_id) OVER (PARTITION BY t) AS keep_id
   FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents))
