@@ -95,8 +95,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if n > len(_powers.up):
         size = max(n, 1 << 16, 2 * len(_powers.up))
         with np.errstate(over="ignore"):
-            _powers.up = np.cumprod(np.concatenate([[1], np.full(size - 1, _BASE, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-            _powers.down = np.cumprod(np.concatenate([[1], np.full(size - 1, pow(_BASE, -1, 1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
+            one = np.ones(1, np.uint64)
+            _powers.up = np.cumprod(np.append(one, np.full(size - 1, _BASE, np.uint64)), dtype=np.uint64)
+            _powers.down = np.cumprod(np.append(one, np.full(size - 1, pow(_BASE, -1, 1 << 64), np.uint64)), dtype=np.uint64)
     return _powers.up, _powers.down
 
 
