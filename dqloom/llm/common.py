@@ -104,6 +104,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _powers.up = _powers.down = np.zeros(0, np.uint64)
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes from each start to its end, wherever they stand."""
+    n = len(data)
+    up, down = _powers(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
+        return mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * _MULT)
+
+
 def word_class(allowed) -> np.ndarray:
     """256 flags: which bytes, once lower-cased, belong to a word."""
     flags = np.zeros(256, dtype=bool)
@@ -137,11 +147,7 @@ class Words:
         self.rows = len(offsets) - 1
         self.offsets = np.searchsorted(self.start, offsets)  # first word of each row
         self.row = np.repeat(np.arange(self.rows), np.diff(self.offsets))
-        up, down = _powers(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        with np.errstate(over="ignore"):
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-            self.hash = mix64((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64) * _MULT)
+        self.hash = span_hashes(self.data, self.start, self.end)
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the k words from each word on, and whether they all lie in its row."""

@@ -6,10 +6,10 @@ independently in randomised groups of pieces; sequences never cross groups.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,23 +18,27 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fresh, text_slices, written
+from .common import LOWER, bounded_batches, fresh, span_hashes, text_bytes, text_slices, written
 
 CAPACITY = 2048
 GROUP_PIECES = 8192  # pieces that are packed together, on average
-CACHED = 700_000  # distinct words whose ids a worker remembers
+CACHED = 1_500_000  # distinct units whose ids (some 50 bytes each) a worker remembers
 
 
-#: Letters that normalisation only lower-cases, and signs after them that make a pre-token of their own.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: Of each byte: 0 blank, 1 letter, 2 other ASCII, 3 a sign that may join its neighbours to one pre-token.
+KIND = np.full(256, 3, np.uint8)
+KIND[:128] = 2
+KIND[[9, 10, 11, 12, 13, 32]] = 0
+KIND[[*range(65, 91), *range(97, 123)]] = 1
+KIND[[ord("'"), ord("<"), *range(0, 9), *range(14, 32), 127]] = 3
 
 
 class WordIds:
-    """Ids of texts by way of their distinct space-separated words.
+    """Ids of texts by way of their distinct units, found by 64-bit hashes of byte runs.
 
-    The tokenizer drops white space between pre-tokens, so a text's ids are those of its
-    words in order. Only ASCII blanks that it surely drops are cut at here. A word of
-    plain letters and ASCII signs is one pre-token for each; all others go through the whole tokenizer.
+    The tokenizer drops white space between pre-tokens, so a text's ids are those of its blank-separated
+    words in order. In a word of ASCII and Latin-1 letters and plain signs, each run of letters, lower-cased, and each run
+    of other signs is a unit, as no pre-token crosses them. Any other word is one unit and goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -47,40 +51,70 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {"": 0}
-        self.start = np.zeros(1, np.int64)
-        self.size = np.zeros(1, np.int64)
+        self.known = np.zeros(0, np.uint64)
+        self.start = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
 
-    def _new_ids(self, words: list[str]) -> list[list[int]]:
-        parts = [PLAIN.fullmatch(w) for w in words]
-        stems = list({m[1].lower() for m in parts if m})
-        rest = list({m[2] for m in parts if m} | {w for w, m in zip(words, parts, strict=True) if not m})
-        stem_ids = {w: e.ids for w, e in zip(stems, self.letters.encode_batch_fast(stems, add_special_tokens=False), strict=True)}
-        rest_ids = {w: e.ids for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True)}
-        return [stem_ids[m[1].lower()] + rest_ids[m[2]] if m else rest_ids[w] for w, m in zip(words, parts, strict=True)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.index) > CACHED:
+    def _units(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes to read units from, each unit's start, end and kind, and the rows' offsets in units."""
+        raw, offsets = text_bytes(col)
+        n = len(raw)
+        kind, low = KIND[raw], LOWER[raw]
+        lead = np.flatnonzero(raw[:-1] == 0xC3) if n else np.zeros(0, np.int64)
+        second = raw[lead + 1]
+        letter = (second != 0x97) & (second != 0xB7)
+        kind[lead[letter]] = kind[lead[letter] + 1] = 1
+        upper = lead[letter & (second < 0x9F)] + 1
+        low[upper] += 0x20
+        first_of_row = np.zeros(n + 1, bool)
+        first_of_row[offsets[:-1]] = True
+        filled = kind > 0
+        begin = filled.copy()
+        begin[1:] &= ~filled[:-1] | first_of_row[1:n]
+        words = np.flatnonzero(begin)
+        if len(words):
+            odd = np.repeat(np.maximum.reduceat(kind, words) == 3, np.diff(np.append(words, n))) & filled[words[0] :]
+            kind[words[0] :][odd] = 3
+            low[words[0] :][odd] = raw[words[0] :][odd]
+        begin[1:] |= filled[1:] & (kind[1:] != kind[:-1])
+        start = np.flatnonzero(begin)
+        last = filled.copy()
+        last[:-1] &= ~filled[1:] | begin[1:]
+        return low, start, np.flatnonzero(last) + 1, kind[start] if n else kind, np.searchsorted(start, offsets)
+
+    def encode(self, col: pa.Array) -> list[np.ndarray]:
+        """Ids of each row; null counts as empty."""
+        if len(self.known) > CACHED:
             self.clear()
-        words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = list(set().union(*words).difference(self.index)) if words else []
-        if new:
-            ids = self._new_ids(new)
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            base = len(self.flat)
-            self.index.update(zip(new, range(len(self.start), len(self.start) + len(new)), strict=True))
-            self.start = np.concatenate([self.start, base + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
-            self.flat = np.concatenate([self.flat, np.array([i for one in ids for i in one], np.uint32)])
-        out = []
-        for one in words:
-            at = np.fromiter(map(self.index.__getitem__, one), np.int64, len(one))
-            size = self.size[at]
-            ends = np.cumsum(size)
-            take = np.repeat(self.start[at] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-            out.append(self.flat[take])
-        return out
+        data, start, end, kind, offsets = self._units(col)
+        hashes, at, back = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = place < len(self.known)
+        new[inside] = self.known[place[inside]] != hashes[inside]
+        if new.any():
+            self._learn(hashes[new], place[new], data.tobytes(), start[at[new]], end[at[new]], kind[at[new]])
+            place = np.searchsorted(self.known, hashes)
+        unit = place[back]
+        size = self.size[unit]
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(self.start[unit] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.append(0, ends)[offsets]
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+    def _learn(self, hashes, place, data: bytes, start, end, kind) -> None:
+        units = [data[a:b].decode() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        ids: list = [None] * len(units)
+        for rows, tokenizer in ((np.flatnonzero(kind == 1), self.letters), (np.flatnonzero(kind != 1), self.tokenizer)):
+            rows = rows.tolist()
+            for i, e in zip(rows, tokenizer.encode_batch_fast([units[i] for i in rows], add_special_tokens=False), strict=True):
+                ids[i] = e.ids
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.known = np.insert(self.known, place, hashes)
+        self.start = np.insert(self.start, place, len(self.flat) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, place, size)
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
 
 
 @lru_cache(maxsize=2)
@@ -137,7 +171,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
         encoder = _word_ids(tokenizer)
         for part in text_slices(batches, "text"):
             rows, starts, lengths, crcs, totals, kept = [], [], [], [], [], []
-            for i, ids in enumerate(encoder.encode(part.column(1).to_pylist())):
+            for i, ids in enumerate(encoder.encode(part.column(1))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for a in range(0, len(ids), capacity):
                     piece = ids[a : a + capacity]
