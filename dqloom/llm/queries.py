@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, language_id, licenses, packing, token_count, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, language_id, licenses, packing, paragraph_dedup, token_count, url_filter
 from .common import read_table
 
 
@@ -42,11 +42,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predicted(read_table(spark, sf_dir, "documents"))
 
 
+def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeated_passages(read_table(spark, sf_dir, "documents")).drop("spans", "address")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_license_scan, op5_packing, op6_token_counts, op7_jaccard_join, op8_language_id, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_license_scan, op5_packing, op6_token_counts, op7_jaccard_join, op8_language_id, op9_paragraph_dedup, op10_exact_dedup)}
 
 SQL = {
     "op1_decontamination": decontaminate.judged_sql(),
