@@ -126,6 +126,23 @@ def may_link(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & (differ <= x + y - 2 * need)
 
 
+def wide_signature(values: np.ndarray) -> np.ndarray:
+    """Two to four bits for each shingle of the set, a power of two of them, as 64-bit words."""
+    width = 4 << max(4, int(len(values)).bit_length() - 1)
+    bits = np.zeros(width, bool)
+    bits[(values % np.uint64(width)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def differing(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits that differ, the wider signature folded to the other's width. Each is a shingle of one set alone."""
+    while len(x) > len(y):
+        x = x[: len(x) // 2] | x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] | y[len(y) // 2 :]
+    return int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, common, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the threshold, by intersecting the whole sorted sets.
 
@@ -139,10 +156,21 @@ def verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, common, k: i
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
             offsets, values = shingle_sets(part.column(1), common.value, k)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))], names=["node", "shingles"])
+            wide = [wide_signature(values[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(offsets).astype(np.int64)), pa.array(wide, pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))], names=["node", "n", "wide", "shingles"])
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, na, nb, wa, wb = (batch.column(i) for i in range(6))
+            sizes = (na.to_numpy() + nb.to_numpy()).tolist()
+            keep = pa.array([differing(wa[i].values.to_numpy(), wb[i].values.to_numpy()) <= n - 2 * -(-percent * n // (100 + percent)) for i, n in enumerate(sizes)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
-    arrays = written(texts.mapInArrow(sets, "node bigint, shingles array<bigint>"), "sets")
-    both = pairs.join(arrays.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(arrays.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    arrays = written(texts.mapInArrow(sets, "node bigint, n bigint, wide array<bigint>, shingles array<bigint>"), "sets")
+    # Signatures as wide as the sets are large, a twentieth of their size, sort out the pairs whose sets are fetched.
+    wide = pairs.join(arrays.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb")), "b").join(arrays.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa")), "a")
+    likely = written(wide.select("a", "b", "na", "nb", "wa", "wb").mapInArrow(bound, "a bigint, b bigint"), "bounded")
+    both = likely.join(arrays.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(arrays.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,9 +213,10 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
     classes = written(rows.where("n > 0").groupBy("n", "d1", "d2").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row")).alias("first")).select("n", "d1", "d2", F.col("first.row").alias("node"), F.col("first.key").alias("node_key")), "classes")
     reps = rows.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
     nodes = written(reps.select("row", "key", "address", "n", *BITS), "nodes")
-    cells = reps.select(F.col("row").alias("node"), "n", F.explode("prefix").alias("shingle"))
+    cells = reps.select(F.col("row").alias("node"), F.explode("prefix").alias("shingle"))
     shared = cells.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1")
-    tiles = written(cells.join(shared, "shingle"), "tiles")
+    met_cells = written(cells.join(shared, "shingle"), "met-cells")
+    tiles = met_cells.join(nodes.select(F.col("row").alias("node"), "n"), "node")
 
     # First round: each node against the best-connected node of the tiles it is in, the one it shares most with.
     degree = tiles.groupBy("node").agg(F.sum("c").alias("degree"))
