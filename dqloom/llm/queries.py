@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, language_id, licenses, packing, paragraph_dedup, token_count, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, language_id, licenses, packing, paragraph_dedup, quality, token_count, url_filter
 from .common import read_table
 
 
@@ -26,6 +26,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -50,7 +54,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_license_scan, op5_packing, op6_token_counts, op7_jaccard_join, op8_language_id, op9_paragraph_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_license_scan, op4_quality, op5_packing, op6_token_counts, op7_jaccard_join, op8_language_id, op9_paragraph_dedup, quality, op10_exact_dedup)}
 
 SQL = {
     "op1_decontamination": decontaminate.judged_sql(),
