@@ -57,7 +57,8 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     verified = clashes.select(F.when(F.col("n") > 0, F.raise_error(F.lit("two different chunks share an identifier"))).otherwise(F.lit(True)).cast("boolean"))
     recipes = cut.select("key", "sha", F.transform("parts", identifier).alias("recipe"))
     rows = written(recipes.groupBy("key", "sha", "recipe").agg(F.count("*").alias("rows")), "recipes")
-    groups = rows.groupBy("recipe").agg(F.min("key").alias("keep_id"), F.sum("rows").alias("group_size"))
+    # Written, so the join deals both sides anew and a hot recipe's rows can be split.
+    groups = written(rows.groupBy("recipe").agg(F.min("key").alias("keep_id"), F.sum("rows").alias("group_size")), "groups")
     return (
         rows.join(groups, "recipe")
         .where(verified.scalar())
