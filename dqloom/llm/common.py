@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20  # text bytes that a Python worker turns into arrays at once
+SLICE_BYTES = 1 << 19  # text bytes that a Python worker turns into arrays at once
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -40,7 +40,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, megabytes: int = 16) -> None:
+def bounded_batches(spark: SparkSession, megabytes: int = 4) -> None:
     """Arrow batches end at so many bytes, where Spark knows the setting, so long texts don't pile up in a worker."""
     spark.conf.set(BATCH_BYTES, str(megabytes << 20))
 
@@ -93,7 +93,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if n > len(_powers.up):
-        size = max(n, 1 << 16, 2 * len(_powers.up))
+        size = max(n, SLICE_BYTES + (1 << 17), len(_powers.up) + (1 << 18))
         with np.errstate(over="ignore"):
             one = np.ones(1, np.uint64)
             _powers.up = np.cumprod(np.append(one, np.full(size - 1, _BASE, np.uint64)), dtype=np.uint64)

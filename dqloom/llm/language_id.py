@@ -23,7 +23,7 @@ PER_LANGUAGE = 1000  # labelled documents of a language that are trained on, abo
 PARTS = 3  # windows taken from each of them
 LANGUAGES_MOST = 300  # languages learned, the most frequent ones
 EPOCHS, BATCH = 8, 128
-TOGETHER = 2048  # windows scored at once
+TOGETHER = 512  # windows scored at once
 
 
 @dataclass
@@ -161,7 +161,7 @@ def identify(docs: DataFrame, network: ByteNetwork | None, text: str = "text") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = shared.value
-        for part in text_slices(batches, held, limit=1 << 20):
+        for part in text_slices(batches, held):
             at = part.schema.get_field_index(held)
             data, offsets = text_bytes(part.column(at))
             rows = len(offsets) - 1

@@ -22,7 +22,7 @@ from .common import LOWER, bounded_batches, fresh, span_hashes, text_bytes, text
 
 CAPACITY = 2048
 GROUP_PIECES = 8192  # pieces that are packed together, on average
-CACHED = 1_500_000  # distinct units whose ids (some 50 bytes each) a worker remembers
+CACHED = 1_000_000  # distinct units whose ids (some 50 bytes each) a task remembers
 
 
 #: Of each byte: 0 blank, 1 letter, 2 other ASCII, 3 a sign that may join its neighbours to one pre-token.
@@ -188,6 +188,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        encoder.clear()  # the worker lives on
 
     return source.mapInArrow(run, schema)
 
