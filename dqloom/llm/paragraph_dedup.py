@@ -60,7 +60,7 @@ class Paragraphs:
         return self.words.grams(SHINGLE)[0], self.start, self.end - SHINGLE + 1
 
     def minima(self, pick: np.ndarray) -> list[np.ndarray]:
-        """The MinHash of each band for the paragraphs of pick."""
+        """The MinHash of each band for the paragraphs of pick, in order."""
         hashes, start, end = self.shingles()
         bounds = np.stack([start[pick], end[pick]], axis=1).ravel()
         if not len(bounds):
@@ -72,6 +72,27 @@ class Paragraphs:
         return out
 
 
+    def bits(self, pick: np.ndarray) -> np.ndarray:
+        """A 64-bit signature of the shingles of each paragraph of pick, in order."""
+        hashes, start, end = self.shingles()
+        bounds = np.stack([start[pick], end[pick]], axis=1).ravel()
+        one = np.append(np.uint64(1) << (hashes & np.uint64(63)), np.uint64(0))
+        return (np.bitwise_or.reduceat(one, bounds)[::2] if len(bounds) else np.zeros(0, np.uint64)).view(np.int64)
+
+    def distinct(self, pick: np.ndarray) -> np.ndarray:
+        """The number of distinct shingles of the paragraphs of pick."""
+        hashes, start, end = self.shingles()
+        size = (end - start)[pick]
+        ends = np.cumsum(size)
+        unit = np.repeat(np.arange(len(pick)), size)
+        value = hashes[np.repeat(start[pick] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        order = np.lexsort((value, unit))
+        unit, value = unit[order], value[order]
+        new = np.ones(len(unit), bool)
+        new[1:] = (unit[1:] != unit[:-1]) | (value[1:] != value[:-1])
+        return np.bincount(unit[new], minlength=len(pick)).astype(np.int64)
+
+
 def paragraph_rows(source: DataFrame) -> DataFrame:
     """A row for each paragraph, and one of place -1 for each document with its number of words."""
     kind = source.schema["key"].dataType.simpleString()
@@ -91,20 +112,20 @@ def paragraph_rows(source: DataFrame) -> DataFrame:
 
 
 def band_rows(source: DataFrame) -> DataFrame:
-    """band, digest and words of the paragraphs that another one could resemble without being equal; once in a slice."""
+    """band, digest, size (distinct shingles) and signature of the paragraphs that another one could resemble without being equal; once in a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
             p = Paragraphs(part.column(0))
             size = p.end - p.start
             pick = np.flatnonzero(size - SHINGLE + 1 >= 4)  # of 4 shingles and 5, four are shared at best
-            pick = pick[np.unique(p.digest[pick], return_index=True)[1]]
-            minima = p.minima(pick)
+            pick = pick[np.sort(np.unique(p.digest[pick], return_index=True)[1])]
+            minima, n = p.minima(pick), p.distinct(pick)
             with np.errstate(over="ignore"):
                 bands = [mix64(m.view(np.uint64) + np.uint64(i)).view(np.int64) for i, m in enumerate(minima)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bands)), pa.array(np.tile(p.digest[pick], BANDS)), pa.array(np.tile(size[pick], BANDS))], names=["band", "digest", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bands)), pa.array(np.tile(p.digest[pick], BANDS)), pa.array(np.tile(n, BANDS)), pa.array(np.tile(p.bits(pick), BANDS))], names=["band", "digest", "size", "bits"])
 
-    return source.select("text").mapInArrow(run, "band bigint, digest bigint, words bigint")
+    return source.select("text").mapInArrow(run, "band bigint, digest bigint, size bigint, bits bigint")
 
 
 def verified(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
@@ -136,17 +157,27 @@ def verified(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
 def clusters(source: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     """digest and the first place (first_row, first_place) of its cluster, for clusters that occur in two documents or more."""
     bands = written(band_rows(source), "bands")
-    met = bands.groupBy("band").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high")
-    cells = written(bands.join(met.select("band", F.col("low").alias("hub")), "band").distinct(), "cells")
-    links = verified(cells.where("hub <> digest").select(F.col("hub").alias("a"), F.col("digest").alias("b")).distinct(), source, percent)
+    # The hub of a band is the paragraph with the smallest digest. Sizes and signatures must allow the threshold: each bit
+    # that differs is a shingle that one of the two lacks.
+    def fits(a: str, b: str):
+        x, y = F.col(f"{a}.size"), F.col(f"{b}.size")
+        need = F.ceil(percent * (x + y) / F.lit(100.0 + percent) - 1e-9)
+        return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & (F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) <= x + y - 2 * need)
+
+    me = F.struct("digest", "size", "bits")
+    met = bands.groupBy("band").agg(F.min(me).alias("hub"), F.max("digest").alias("high")).where("hub.digest < high")
+    cells = written(bands.join(met.select("band", "hub"), "band").distinct().select("band", "hub", me.alias("me")), "cells")
+    likely = cells.where((F.col("hub.digest") != F.col("me.digest")) & fits("hub", "me")).select(F.col("hub.digest").alias("a"), F.col("me.digest").alias("b")).distinct()
+    likely = written(likely, "likely")
+    links = verified(likely, source, percent)
     joined = components(links)
-    labelled = cells.join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
-    open_ = written(labelled.where("hub <> digest").join(mixed, "band").select("band", "digest", "words", "component"), "open")
+    labelled = cells.select("band", "me.*").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low < high and n > 2").select("band")
+    open_ = written(labelled.join(mixed, "band"), "open")
     l, r = open_.alias("l"), open_.alias("r")
-    least, most = F.least("l.words", "r.words") - SHINGLE + 1, F.greatest("l.words", "r.words") - SHINGLE + 1
-    pairs = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.digest") < F.col("r.digest")) & (F.col("l.component") != F.col("r.component")) & (100 * least >= percent * 0.5 * most)).select(F.col("l.digest").alias("a"), F.col("r.digest").alias("b")).distinct()
-    whole = components(links.unionByName(verified(written(pairs, "pairs"), source, percent)))
+    pairs = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.digest") < F.col("r.digest")) & (F.col("l.component") != F.col("r.component")) & fits("l", "r")).select(F.col("l.digest").alias("a"), F.col("r.digest").alias("b")).distinct()
+    rest = written(pairs.join(likely, ["a", "b"], "left_anti"), "pairs")
+    whole = components(links.unionByName(verified(rest, source, percent)))
     classes = units.where("place >= 0").groupBy("digest").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "place")).alias("first"), F.min("row").alias("low"), F.max("row").alias("high"))
     named = classes.join(whole.withColumnRenamed("node", "digest"), "digest", "left").where("component is not null or low < high").withColumn("component", F.coalesce("component", "digest"))
     named = written(named, "classes")
