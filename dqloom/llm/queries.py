@@ -54,7 +54,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_license_scan, op4_quality, op5_packing, op6_token_counts, op7_jaccard_join, op8_language_id, op9_paragraph_dedup, quality, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_license_scan, op4_quality, op5_packing, op6_token_counts, op7_jaccard_join, op8_language_id, op9_paragraph_dedup, op10_exact_dedup)}
 
 SQL = {
     "op1_decontamination": decontaminate.judged_sql(),
