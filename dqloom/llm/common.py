@@ -173,3 +173,14 @@ NON_SPACE = word_class(lambda b: b not in (9, 10, 11, 12, 13, 32))
 def lower_ascii(col):
     """A-Z in lower case, every other character as it is."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def keep_rows(docs: DataFrame, key: str, mark, stays: DataFrame) -> DataFrame:
+    """The rows of docs whose key and mark are in stays (k, m); rows that repeat both come once. All columns of docs, and no others."""
+    names = list(docs.columns)
+    for wanted in ("mark_", "k_", "m_"):
+        names.append(fresh(names, wanted))
+    at, k, m = names[-3:]
+    marked = docs.withColumn(at, mark)
+    found = marked.join(stays.select(F.col("k").alias(k), F.col("m").alias(m)), F.col(f"`{key}`").eqNullSafe(F.col(k)) & (F.col(at) == F.col(m)), "left_semi")
+    return found.dropDuplicates([key, at]).select(*[F.col(f"`{c}`") for c in docs.columns])

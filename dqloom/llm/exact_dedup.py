@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import keep_rows, written
 
 LONGEST = 8192  # characters; a chunk without an earlier boundary ends here
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -71,8 +71,5 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of docs, all columns, whose text is the first of its group; rows repeated with the same key and text once."""
-    sha = fresh(docs.columns, "sha_")
-    stays = exact_groups(docs, text, key).where("kept").select(F.col(key).alias("key__"), F.col("text_sha256").alias("sha__"))
-    marked = docs.withColumn(sha, F.sha2(normalised(F.col(f"`{text}`")), 256))
-    kept = marked.join(stays, marked[key].eqNullSafe(F.col("key__")) & (marked[sha] == F.col("sha__")), "left_semi")
-    return kept.dropDuplicates([key, sha]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stays = exact_groups(docs, text, key).where("kept").select(F.col(key).alias("k"), F.col("text_sha256").alias("m"))
+    return keep_rows(docs, key, F.sha2(normalised(F.col(f"`{text}`")), 256), stays)
