@@ -130,7 +130,7 @@ def band_rows(source: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of digests whose paragraphs' shingle sets reach the threshold."""
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), "wanted")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct().persist()
     spark = source.sparkSession
     small = wanted.count() <= BROADCAST_ROWS
     listed = np.sort(np.array([r[0] for r in wanted.collect()], np.int64)) if small else None
@@ -149,13 +149,14 @@ def verified(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
 
     found = source.select("text").mapInArrow(sets, "digest bigint, shingles array<bigint>")
     arrays = written((found if small else found.join(wanted, "digest")).groupBy("digest").agg(F.first("shingles").alias("shingles")), "sets")
+    wanted.unpersist()
     both = pairs.join(arrays.select(F.col("digest").alias("a"), F.col("shingles").alias("sa")), "a").join(arrays.select(F.col("digest").alias("b"), F.col("shingles").alias("sb")), "b")
     overlap = F.size(F.array_intersect("sa", "sb"))
     return written(both.where(100 * overlap >= percent * (F.size("sa") + F.size("sb") - overlap)).select("a", "b"), "verified")
 
 
 def clusters(source: DataFrame, units: DataFrame, percent: int) -> DataFrame:
-    """digest and the first place (first_row, first_place) of its cluster, for clusters that occur in two documents or more."""
+    """digest and component of the paragraphs whose cluster occurs in two documents or more."""
     bands = written(band_rows(source), "bands")
     # The hub of a band is the paragraph with the smallest digest. Sizes and signatures must allow the threshold: each bit
     # that differs is a shingle that one of the two lacks.
@@ -165,9 +166,10 @@ def clusters(source: DataFrame, units: DataFrame, percent: int) -> DataFrame:
         return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & (F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) <= x + y - 2 * need)
 
     me = F.struct("digest", "size", "bits")
-    met = bands.groupBy("band").agg(F.min(me).alias("hub"), F.max("digest").alias("high")).where("hub.digest < high")
-    cells = written(bands.join(met.select("band", "hub"), "band").distinct().select("band", "hub", me.alias("me")), "cells")
-    likely = cells.where((F.col("hub.digest") != F.col("me.digest")) & fits("hub", "me")).select(F.col("hub.digest").alias("a"), F.col("me.digest").alias("b")).distinct()
+    met = bands.groupBy("band").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high").select("band")
+    cells = written(bands.join(met, "band").distinct().select("band", me.alias("me")), "cells")
+    hubs = cells.groupBy("band").agg(F.min("me").alias("hub"))
+    likely = cells.join(hubs, "band").where((F.col("hub.digest") != F.col("me.digest")) & fits("hub", "me")).select(F.col("hub.digest").alias("a"), F.col("me.digest").alias("b")).distinct()
     likely = written(likely, "likely")
     links = verified(likely, source, percent)
     joined = components(links)
@@ -178,11 +180,12 @@ def clusters(source: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     pairs = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.digest") < F.col("r.digest")) & (F.col("l.component") != F.col("r.component")) & fits("l", "r")).select(F.col("l.digest").alias("a"), F.col("r.digest").alias("b")).distinct()
     rest = written(pairs.join(likely, ["a", "b"], "left_anti"), "pairs")
     whole = components(links.unionByName(verified(rest, source, percent)))
-    classes = units.where("place >= 0").groupBy("digest").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "place")).alias("first"), F.min("row").alias("low"), F.max("row").alias("high"))
+    # Paragraphs of a component, and equal ones in two documents; what a cluster's first place is, only their rows tell.
+    classes = units.where("place >= 0").groupBy("digest").agg(F.min("row").alias("low"), F.max("row").alias("high"))
     named = classes.join(whole.withColumnRenamed("node", "digest"), "digest", "left").where("component is not null or low < high").withColumn("component", F.coalesce("component", "digest"))
     named = written(named, "classes")
-    across = named.groupBy("component").agg(F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
-    return named.select("digest", "component").join(across.select("component", F.col("first.row").alias("first_row"), F.col("first.place").alias("first_place")), "component").select("digest", "first_row", "first_place")
+    across = named.groupBy("component").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("component")
+    return written(named.select("digest", "component").join(across, "component"), "clusters")
 
 
 def _passages(found: list, least: int, gap: int) -> dict:
@@ -222,7 +225,9 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, passage: int = PA
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")).withColumn("address", F.xxhash64("text"))
     units = written(paragraph_rows(source.withColumn("row", F.monotonically_increasing_id())), "paragraphs")
-    found = units.where("place >= 0").join(clusters(source.select("text"), units, percent), "digest")
+    found = written(units.where("place >= 0").join(clusters(source.select("text"), units, percent), "digest"), "found")
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "place")).alias("first"))
+    found = found.join(written(first.select("component", F.col("first.row").alias("first_row"), F.col("first.place").alias("first_place")), "firsts"), "component")
     stays = (F.col("first_row") == F.col("row")) & (F.col("first_place") == F.col("place"))
     grouped = found.groupBy("row").agg(F.collect_list(F.struct("place", "start", "words", stays.alias("stays"))).alias("found"))
     judge = F.udf(lambda x: _passages(x, passage, GAP), "n_repeated bigint, repeated_words bigint, removed_words bigint, spans array<struct<start:bigint,length:bigint>>")
@@ -236,10 +241,13 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, passage: int = PA
 
 def without_passages(docs: DataFrame, percent: int = PERCENT, passage: int = PASSAGE, text: str = "text", key: str = "doc_id") -> DataFrame:
     """docs, all columns, with the removed passages cut out of the text; its other characters stay as they are."""
-    address, spans = fresh(docs.columns, "address_"), fresh(docs.columns, "spans_")
-    cut = repeated_passages(docs, percent, passage, text, key).where("removed_words > 0").groupBy(F.col(key).alias("key__"), F.col("address").alias("address__")).agg(F.max("spans").alias(spans))
-    marked = docs.withColumn(address, F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))))
-    joined = marked.join(cut, marked[key].eqNullSafe(F.col("key__")) & (marked[address] == F.col("address__")), "left")
+    names = list(docs.columns)
+    for wanted in ("mark_", "spans_", "k_", "m_"):
+        names.append(fresh(names, wanted))
+    at, spans, k, m = names[-4:]
+    cut = repeated_passages(docs, percent, passage, text, key).where("removed_words > 0").groupBy(F.col(key).alias(k), F.col("address").alias(m)).agg(F.max("spans").alias(spans))
+    marked = docs.withColumn(at, F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))))
+    joined = marked.join(cut, F.col(f"`{key}`").eqNullSafe(F.col(k)) & (F.col(at) == F.col(m)), "left")
 
     def strip(body: str | None, removed: list | None) -> str | None:
         if body is None or not removed:
