@@ -17,8 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     while True:
-        large = written(_star(edges, both=True), "large-star")
-        small = written(_star(large, both=False), "small-star")
+        small = written(_star(_star(edges, both=True), both=False), "stars")
         if _digest(small) == _digest(edges):
             break
         edges = small

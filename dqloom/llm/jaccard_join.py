@@ -19,7 +19,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, bounded_batches, fresh, mix64, text_slices, written
+from .common import NON_SPACE, Words, bounded_batches, keep_rows, mix64, text_slices, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -149,7 +149,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, common, k: i
     Sets are made again from the texts of just the rows that occur in pairs.
     """
     ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    wanted = written(nodes.join(ends, "row").select("row", F.col("key").alias("key_"), F.col("address").alias("address_")), "wanted")
+    wanted = nodes.join(ends, "row").select("row", F.col("key").alias("key_"), F.col("address").alias("address_")).persist()
     small = wanted.count() <= BROADCAST_ROWS
     texts = source.join(F.broadcast(wanted) if small else wanted, F.col("key").eqNullSafe(F.col("key_")) & (F.col("address") == F.col("address_"))).select(wanted["row"].alias("node"), "text")
 
@@ -166,10 +166,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, common, k: i
             keep = pa.array([differing(wa[i].values.to_numpy(), wb[i].values.to_numpy()) <= n - 2 * -(-percent * n // (100 + percent)) for i, n in enumerate(sizes)], pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
-    arrays = written(texts.mapInArrow(sets, "node bigint, n bigint, wide array<bigint>, shingles array<bigint>"), "sets")
+    arrays = written(texts.mapInArrow(sets, "node bigint, n bigint, wide array<bigint>, shingles array<bigint>").repartition("node"), "sets")
+    wanted.unpersist()
     # Signatures as wide as the sets are large, a twentieth of their size, sort out the pairs whose sets are fetched.
     wide = pairs.join(arrays.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb")), "b").join(arrays.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa")), "a")
-    likely = written(wide.select("a", "b", "na", "nb", "wa", "wb").mapInArrow(bound, "a bigint, b bigint"), "bounded")
+    likely = wide.select("a", "b", "na", "nb", "wa", "wb").mapInArrow(bound, "a bigint, b bigint")
     both = likely.join(arrays.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(arrays.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,11 +262,8 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of docs, all columns, that come first in their component. Rows without shingles all stay."""
-    first = linked_components(docs, k, percent, text, key).where("`first`").select(F.col(key).alias("key__"), F.col("address").alias("address__")).distinct()
-    address = fresh(docs.columns, "address_")
-    marked = docs.withColumn(address, F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))))
-    kept = marked.join(first, marked[key].eqNullSafe(F.col("key__")) & (marked[address] == F.col("address__")), "left_semi")
-    return kept.dropDuplicates([key, address]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stays = linked_components(docs, k, percent, text, key).where("`first`").select(F.col(key).alias("k"), F.col("address").alias("m")).distinct()
+    return keep_rows(docs, key, F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))), stays)
 
 
 def components_sql() -> str:
