@@ -175,12 +175,27 @@ def lower_ascii(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def keep_rows(docs: DataFrame, key: str, mark, stays: DataFrame) -> DataFrame:
-    """The rows of docs whose key and mark are in stays (k, m); rows that repeat both come once. All columns of docs, and no others."""
+#: Rows (a key and a mark, some 50 bytes) that may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def keep_rows(docs: DataFrame, key: str, mark, judged: DataFrame) -> DataFrame:
+    """The rows of docs that stay by judged: k, m (key and mark), stays and n (rows). All columns of docs, and no others.
+
+    Rows that repeat a key and a mark come once. Where none do and the rows that go are few enough to be broadcast, the
+    documents aren't shuffled at all; else they are, once.
+    """
     names = list(docs.columns)
     for wanted in ("mark_", "k_", "m_"):
         names.append(fresh(names, wanted))
     at, k, m = names[-3:]
+    pairs = judged.groupBy(F.col("k").alias(k), F.col("m").alias(m)).agg(F.max("stays").alias("stays"), F.sum("n").alias("n"))
+    pairs = written(pairs, "judged")
+    gone, repeated = pairs.agg(F.count_if(~F.col("stays")), F.count_if(F.col("stays") & (F.col("n") > 1))).first()
     marked = docs.withColumn(at, mark)
-    found = marked.join(stays.select(F.col("k").alias(k), F.col("m").alias(m)), F.col(f"`{key}`").eqNullSafe(F.col(k)) & (F.col(at) == F.col(m)), "left_semi")
-    return found.dropDuplicates([key, at]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = F.col(f"`{key}`").eqNullSafe(F.col(k)) & (F.col(at) == F.col(m))
+    if not repeated and gone <= BROADCAST_ROWS:
+        found = marked.join(F.broadcast(pairs.where("not stays").select(k, m)), same, "left_anti")
+    else:
+        found = marked.join(pairs.where("stays").select(k, m), same, "left_semi").dropDuplicates([key, at])
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])

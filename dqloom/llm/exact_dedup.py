@@ -41,7 +41,7 @@ def identifier(chunk: Column) -> Column:
 
 
 def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per document: key, keep_id, group_size, kept, text_sha256, n_chunks.
+    """Per document: key, keep_id, group_size, kept, text_sha256, n_chunks, n_rows (times that it is there).
 
     Texts are equal when their recipes are. Of equal texts the smallest key stays. Null text counts as
     empty, and all empty texts are one group. A row repeated with the same key and text is one
@@ -64,12 +64,12 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
         .where(verified.scalar())
         .select(
             F.col("key").alias(key), "keep_id", "group_size",
-            F.col("key").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"), F.size("recipe").cast("long").alias("n_chunks"),
+            F.col("key").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"), F.size("recipe").cast("long").alias("n_chunks"), F.col("rows").alias("n_rows"),
         )
     )
 
 
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of docs, all columns, whose text is the first of its group; rows repeated with the same key and text once."""
-    stays = exact_groups(docs, text, key).where("kept").select(F.col(key).alias("k"), F.col("text_sha256").alias("m"))
-    return keep_rows(docs, key, F.sha2(normalised(F.col(f"`{text}`")), 256), stays)
+    judged = exact_groups(docs, text, key).select(F.col(key).alias("k"), F.col("text_sha256").alias("m"), F.col("kept").alias("stays"), F.col("n_rows").alias("n"))
+    return keep_rows(docs, key, F.sha2(normalised(F.col(f"`{text}`")), 256), judged)

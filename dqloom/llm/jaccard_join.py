@@ -19,7 +19,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, bounded_batches, keep_rows, mix64, text_slices, written
+from .common import BROADCAST_ROWS, NON_SPACE, Words, bounded_batches, keep_rows, mix64, text_slices, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -28,7 +28,6 @@ COMMON_MOST = 100_000  # shingles that may be put last; more common ones come fi
 COMMON_FROM = 64  # documents that a common shingle is in, at least
 COUNTED = 1 << 19  # shingles a task counts at once; beyond that, those seen once are forgotten
 BITS = [f"s{i}" for i in range(WIDTH // 64)]
-BROADCAST_ROWS = 500_000  # row addresses (24 bytes each) that may be broadcast; more are joined by a shuffle
 
 
 def shingle_sets(col: pa.Array, common: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -166,11 +165,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, common, k: i
             keep = pa.array([differing(wa[i].values.to_numpy(), wb[i].values.to_numpy()) <= n - 2 * -(-percent * n // (100 + percent)) for i, n in enumerate(sizes)], pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
-    arrays = written(texts.mapInArrow(sets, "node bigint, n bigint, wide array<bigint>, shingles array<bigint>").repartition("node"), "sets")
+    arrays = written(texts.mapInArrow(sets, "node bigint, n bigint, wide array<bigint>, shingles array<bigint>"), "sets")
     wanted.unpersist()
     # Signatures as wide as the sets are large, a twentieth of their size, sort out the pairs whose sets are fetched.
     wide = pairs.join(arrays.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb")), "b").join(arrays.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa")), "a")
-    likely = wide.select("a", "b", "na", "nb", "wa", "wb").mapInArrow(bound, "a bigint, b bigint")
+    likely = written(wide.select("a", "b", "na", "nb", "wa", "wb").mapInArrow(bound, "a bigint, b bigint"), "bounded")
     both = likely.join(arrays.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(arrays.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,8 +261,8 @@ def linked_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT,
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of docs, all columns, that come first in their component. Rows without shingles all stay."""
-    stays = linked_components(docs, k, percent, text, key).where("`first`").select(F.col(key).alias("k"), F.col("address").alias("m")).distinct()
-    return keep_rows(docs, key, F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))), stays)
+    judged = linked_components(docs, k, percent, text, key).select(F.col(key).alias("k"), F.col("address").alias("m"), F.col("first").alias("stays"), F.lit(1).alias("n"))
+    return keep_rows(docs, key, F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))), judged)
 
 
 def components_sql() -> str:

@@ -17,7 +17,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, _powers, bounded_batches, fresh, mix64, text_slices, written
+from .common import BROADCAST_ROWS, NON_SPACE, Words, _powers, bounded_batches, fresh, mix64, text_slices, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -26,7 +26,6 @@ WORDS_LEAST = 5  # words of a paragraph that is compared
 PASSAGE = 25  # clustered words in a stretch that make it a repeated passage (its cut-off edges don't count)
 GAP = 1  # paragraphs between that may differ
 SALTS = [0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(BANDS)]
-BROADCAST_ROWS = 500_000  # paragraph digests (8 bytes each) that may be broadcast; more are joined by a shuffle
 
 
 class Paragraphs:

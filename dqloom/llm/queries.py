@@ -51,7 +51,7 @@ def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents")).drop("n_chunks")
+    return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents")).drop("n_chunks", "n_rows")
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_license_scan, op4_quality, op5_packing, op6_token_counts, op7_jaccard_join, op8_language_id, op9_paragraph_dedup, op10_exact_dedup)}
