@@ -102,8 +102,8 @@ def country(values: DataFrame, raw: str, memory=None, names=None, codes=None, ad
     out = first
     if fuzzy is not None:
         listed = lookup.select(F.col("k").alias("name"), F.xxhash64("k").alias("place"), "v")
-        hits = best_names(pending, listed, 1, fuzzy).join(listed.select("name", "v"), "name").select(F.col("label").alias("k"), "v")
-        out = out.join(hits, (F.col("method") == "check") & (F.lower("clean") == F.col("k")), "left").withColumn("like_", F.col("v")).drop("k", "v")
+        hits = best_names(pending, listed, 1, fuzzy).join(listed.select("name", "v"), "name").select(F.col("label").alias("like_key_"), F.col("v").alias("like_"))
+        out = out.join(hits, (F.col("method") == "check") & (F.lower("clean") == F.col("like_key_")), "left")
     else:
         out = out.withColumn("like_", F.lit(None).cast("string"))
     out = longest_contained(out, F.lower("clean"), list((address_words if address_words is not None else words.ADDRESS_WORDS).items()))
@@ -264,11 +264,11 @@ def local_entity(values: DataFrame, raw: str, tax_id: str | None, base: DataFram
     strong = (F.col("s1") >= words.STRONG_MATCH) & (F.col("s1") - F.coalesce("s2", F.lit(0.0)) >= words.MATCH_GAP)
     weak = F.coalesce(F.col("s1"), F.lit(0.0)) < words.NO_MATCH
     judged = pending.join(tops, "label", "left").join(tax["names"].select("name", F.col("v").alias("official")), "name", "left")
-    judged = judged.select("label", F.when(strong, F.col("official")).when(weak, F.col("label")).alias("v"), F.when(strong, "DGI_FUZZY_STRONG").when(weak, "DGI_NO_MATCH").alias("m"))
-    out = first.join(judged, (F.col("method") == "pending") & (F.col("clean") == F.col("label")), "left")
+    judged = judged.select(F.col("label").alias("label_"), F.when(strong, F.col("official")).when(weak, F.col("label")).alias("v_"), F.when(strong, "DGI_FUZZY_STRONG").when(weak, "DGI_NO_MATCH").alias("m_"))
+    out = first.join(judged, (F.col("method") == "pending") & (F.col("clean") == F.col("label_")), "left")
     waits = F.col("method") == "pending"
-    out = out.select(*[F.col(f"`{c}`") for c in values.columns], "clean", F.when(waits, F.col("v")).otherwise(F.col("value")).alias("value"), F.when(waits, F.col("m")).otherwise(F.col("method")).alias("method"))
-    return out, near.join(judged.where("m is null").select("label"), "label")
+    out = out.select(*[F.col(f"`{c}`") for c in values.columns], "clean", F.when(waits, F.col("v_")).otherwise(F.col("value")).alias("value"), F.when(waits, F.col("m_")).otherwise(F.col("method")).alias("method"))
+    return out, near.join(judged.where("m_ is null").select(F.col("label_").alias("label")), "label")
 
 
 def foreign_entity(values: DataFrame, raw: str, entities: DataFrame | None = None, memory=None, mapping: dict[str, str] | None = None, order: str = "place") -> DataFrame:

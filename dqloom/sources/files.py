@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ENCODINGS = ("utf-8-sig", "cp1252", "latin-1")
 SEPARATORS = (";", ",", "\t")
 SNIFFED = 64 << 10
+_defined = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+CONTROLS = ("".join(map(chr, _defined)), bytes(_defined).decode("cp1252"))
 
 
 class EmptySource(ValueError):
@@ -49,8 +52,11 @@ def read_csv(spark: SparkSession, path: str, separator: str | None = None) -> Da
         raise EmptySource(f"no rows in {path}")
     encoding, sep, header = sniff(head, separator)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    charset = {"utf-8-sig": "UTF-8", "cp1252": "windows-1252", "latin-1": "ISO-8859-1"}[encoding]
-    return spark.read.csv(path, schema=schema, header=True, enforceSchema=True, sep=sep, encoding=charset, quote='"', escape='"', multiLine=True, emptyValue="", nullValue="\u0000", mode="PERMISSIVE").fillna("")
+    charset = "UTF-8" if encoding == "utf-8-sig" else "ISO-8859-1"
+    df = spark.read.csv(path, schema=schema, header=True, enforceSchema=True, sep=sep, encoding=charset, quote='"', escape='"', multiLine=True, emptyValue="", nullValue="\u0000", mode="PERMISSIVE").fillna("")
+    if encoding == "cp1252":  # what Latin-1 reads as control characters are its quotes, dashes and signs
+        df = df.select(*[F.translate(F.col(f"`{c}`"), *CONTROLS).alias(c) for c in df.columns])
+    return df
 
 
 def read_workbook(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
