@@ -16,6 +16,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -165,8 +166,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, common, k: i
             keep = pa.array([differing(wa[i].values.to_numpy(), wb[i].values.to_numpy()) <= n - 2 * -(-percent * n // (100 + percent)) for i, n in enumerate(sizes)], pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
-    arrays = written(texts.mapInArrow(sets, "node bigint, n bigint, wide array<bigint>, shingles array<bigint>"), "sets")
-    wanted.unpersist()
+    # Kept on the executors' disks, as they depend on nothing but texts: what is lost is made again.
+    arrays = texts.mapInArrow(sets, "node bigint, n bigint, wide array<bigint>, shingles array<bigint>").persist(StorageLevel.DISK_ONLY)
     # Signatures as wide as the sets are large, a twentieth of their size, sort out the pairs whose sets are fetched.
     wide = pairs.join(arrays.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb")), "b").join(arrays.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa")), "a")
     likely = written(wide.select("a", "b", "na", "nb", "wa", "wb").mapInArrow(bound, "a bigint, b bigint"), "bounded")
@@ -186,7 +187,10 @@ def verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, common, k: i
             keep = pa.array(links)
             yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
 
-    return written(both.select("a", "b", "sa", "sb").mapInArrow(check, "a bigint, b bigint").distinct(), "verified")
+    out = written(both.select("a", "b", "sa", "sb").mapInArrow(check, "a bigint, b bigint").distinct(), "verified")
+    arrays.unpersist()
+    wanted.unpersist()
+    return out
 
 
 def _banded(tiles: DataFrame, shift: float) -> DataFrame:
