@@ -16,7 +16,7 @@ from .operators.no_activity import add_global_witness, apply_country_rule, apply
 from .operators.similarity_join import best_names, first_token_hit, nearest_by_edits
 from .operators.validation import StatementColumns, TransactionColumns, anomalies, annotate, due_checks, statement_checks, transaction_checks, validate_statements, validate_transactions
 from .sources import sinks, tables
-from .views import cte, view
+from .views import TEXT_DATES, cte, dirty, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -364,6 +364,15 @@ def number_parsing(spark, sf_dir):
     return counted(df.withColumn("number", parse.to_number(df, "TauxDeChange")), "TauxDeChange", "number")
 
 
+_days = {"2024-01-02": "2024-01-02", "25/12/2024": "2024-12-25", "03/04/2024": "2024-03-04", "20240102": "2024-01-02", "2024-01-02 10:11:12": "2024-01-02", "2024": "2024-01-01"}
+
+
+@query(f"SELECT raw, (SELECT v FROM {table_of(_days)} WHERE k = raw) AS day, count(*) AS n FROM (SELECT {dirty('o_orderkey', TEXT_DATES)} AS raw FROM orders) GROUP BY 1, 2")
+def date_parsing(spark, sf_dir):
+    df = spark.sql(f"SELECT {dirty('o_orderkey', TEXT_DATES)} AS raw FROM {{orders}}", orders=rows(spark, sf_dir, "orders", "o_orderkey"))
+    return counted(df.withColumn("day", parse.to_day(df, "raw").cast("string")), "raw", "day")
+
+
 # ---- validation -----------------------------------------------------------------------------------------------
 
 _amount, _rate = "MontantTransaction", number_sql("TauxDeChange")

@@ -57,6 +57,13 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df with its plan cut at a checkpoint in the shared folder, where one is set; else kept by the session."""
+    if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        return df.checkpoint()
+    return df.persist()
+
+
 def resolve(values: DataFrame, steps: list[Table | Rule], otherwise: str | None = OUTLIER) -> DataFrame:
     """values plus value and method. What no step matches gets otherwise as both (null: stays unresolved)."""
     out, found = values, []

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import dictionaries as words
 from ..functions import text
-from .cascade import OUTLIER, Rule, Table, attach, distinct_values, first_per_key, memory_steps, pairs, resolve, target_index
+from .cascade import OUTLIER, Rule, Table, attach, cut, distinct_values, first_per_key, memory_steps, pairs, resolve, target_index
 from .no_activity import apply_country_rule, apply_na_rule
 from .similarity_join import best_names, first_token_hit, longest_contained
 
@@ -221,7 +221,7 @@ def public_tables(entities: DataFrame, order: str, short: str = "Short Name", fu
 
 def public_entity(labels: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """k, v: cleaned labels that are a public entity: by full name, else by the first short name in them, else by a strong likeness."""
-    label = labels.select("label").distinct()
+    label = cut(labels.select("label").distinct())
     exact = label.join(tables["full"], label["label"] == tables["full"]["k"]).select("label", "v", F.lit(0).alias("i"))
     token = first_token_hit(label, "label", tables["short"]).withColumn("i", F.lit(1))
     long_ = label.where(F.length("label") >= words.PUBLIC_LENGTH)
@@ -229,11 +229,25 @@ def public_entity(labels: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     return first_per_key(exact.unionByName(token).unionByName(alike).withColumnRenamed("label", "k"))
 
 
-def local_entity(values: DataFrame, raw: str, tax_id: str | None, base: DataFrame, entities: DataFrame | None = None, memory=None, mapping: dict[str, str] | None = None, cache: DataFrame | None = None, order: str = "place") -> tuple[DataFrame, DataFrame]:
+def to_public(resolved: DataFrame, tables: dict[str, DataFrame] | None) -> DataFrame:
+    """Names found in the tax base that denote a public entity give way to its short name."""
+    if tables is None:
+        return resolved
+    matched = F.col("method").isin("DGI_EXACT_NORM", "DGI_FUZZY_STRONG", "DGI_CLAUDE_ARBITRAGE") & (F.col("value") != OUTLIER)
+    labels = resolved.where(matched).select("value").distinct().withColumn("label", text.clean_label(F.col("value")))
+    public = labels.join(public_entity(labels.select("label"), tables), F.col("label") == F.col("k")).select(F.col("value").alias("official_"), F.col("v").alias("short_"))
+    joined = resolved.join(public, matched & (F.col("value") == F.col("official_")), "left")
+    hit = F.col("short_").isNotNull()
+    return joined.withColumns({"value": F.when(hit, F.col("short_")).otherwise(F.col("value")), "method": F.when(hit, "PUBLIC_ENT").otherwise(F.col("method"))}).drop("official_", "short_")
+
+
+def local_entity(values: DataFrame, raw: str, tax_id: str | None, base: DataFrame, entities: DataFrame | None = None, memory=None, mapping: dict[str, str] | None = None, cache: DataFrame | None = None, order: str = "place", arbitrator=None) -> tuple[DataFrame, DataFrame]:
     """Distinct (name, tax id) resolved against memory, mapping, the tax base and public entities.
 
-    Returns the values with clean, value and method, and the three nearest names of each label that needs
-    arbitration (label, rank, name, score). base and entities have an order column; cache is an earlier result k, v.
+    Returns the values with clean, value and method, and what was settled of each label that needed the tax base (k, v,
+    method), for memory and cache. base and entities have an order column; cache is an earlier result (k, v, method) for the same
+    base. Labels that are near to several names go to arbitrator, a function from their three nearest names (label, rank, name,
+    score) to label, value, method, status (see operators.resolver.arbitrate); without one they are outliers of this run.
     """
     spark = values.sparkSession
     r, clean = F.col(f"`{raw}`"), F.col("clean")
@@ -242,33 +256,44 @@ def local_entity(values: DataFrame, raw: str, tax_id: str | None, base: DataFram
     prepared = values.withColumns({"clean": text.clean_label(r), "nif_": nif})
     tax = tax_tables(base, order)
     none = spark.createDataFrame([], "k string, v string")
-    public = public_entity(prepared.where("clean <> ''").select(F.col("clean").alias("label")), public_tables(entities, order)) if entities is not None else none
-    mapped = pairs(spark, mapping)
+    known = public_tables(entities, order) if entities is not None else None
+    public = public_entity(prepared.where("clean <> ''").select(F.col("clean").alias("label")), known) if known else none
     steps = [
         Rule(None, clean == "", None),
-        *memory_steps(memory_table(memory, spark), [r, text.urstrip(r), clean]),
+        *memory_steps(memory_table(memory, spark), [clean]),
         Table("MAP_CIBLE", first_per_key(pairs(spark, {v: v for v in mapping.values() if v != OUTLIER}).select(F.lit(0).alias("i"), text.clean_label(F.col("k")).alias("k"), "v")), clean),
-        Table("MAP", mapped, clean),
+        Table("MAP", pairs(spark, mapping), clean),
         Rule(OUTLIER, clean == "NA"),
         Table("NIF_EXACT", tax["id"], F.when(text.tax_id_valid(F.col("nif_")), F.col("nif_"))),
         Table("PUBLIC_ENT", public, clean),
         Rule(OUTLIER, obvious_noise(clean)),
         *local_steps(clean),
-        *([Table("DGI_CACHE", cache, clean)] if cache is not None else []),
-        Table("DGI_EXACT_NORM", tax["bare"], text.hyper_normalised(clean)),
     ]
-    first = resolve(prepared, steps, otherwise="pending")
-    pending = first.where("method = 'pending'").select(F.col("clean").alias("label")).distinct()
-    near = best_names(pending, tax["names"].select("name", F.col("place").cast("bigint").alias("place")), 3)
+    first = cut(resolve(prepared, steps, otherwise="pending"))
+    pending = cut(first.where("method = 'pending'").select(F.col("clean").alias("label")).distinct())
+    cached = (cache if cache is not None else spark.createDataFrame([], "k string, v string, method string")).select(F.col("k").alias("label"), F.col("v").alias("value"), "method")
+    cached = cached.join(pending, "label")
+    fresh = pending.join(cached, "label", "left_anti").withColumn("bare", text.hyper_normalised(F.col("label")))
+    exact = fresh.where("bare <> ''").join(tax["bare"], F.col("bare") == F.col("k")).select("label", F.col("v").alias("value"), F.lit("DGI_EXACT_NORM").alias("method"))
+    exact = cut(exact)
+    fuzzy = cut(fresh.select("label").join(exact, "label", "left_anti"))
+    near = cut(best_names(fuzzy, tax["names"].select("name", F.col("place").cast("bigint").alias("place")), 3))
     tops = near.groupBy("label").agg(F.max(F.when(F.col("rank") == 1, F.col("score"))).alias("s1"), F.max(F.when(F.col("rank") == 2, F.col("score"))).alias("s2"), F.max(F.when(F.col("rank") == 1, F.col("name"))).alias("name"))
     strong = (F.col("s1") >= words.STRONG_MATCH) & (F.col("s1") - F.coalesce("s2", F.lit(0.0)) >= words.MATCH_GAP)
     weak = F.coalesce(F.col("s1"), F.lit(0.0)) < words.NO_MATCH
-    judged = pending.join(tops, "label", "left").join(tax["names"].select("name", F.col("v").alias("official")), "name", "left")
-    judged = judged.select(F.col("label").alias("label_"), F.when(strong, F.col("official")).when(weak, F.col("label")).alias("v_"), F.when(strong, "DGI_FUZZY_STRONG").when(weak, "DGI_NO_MATCH").alias("m_"))
-    out = first.join(judged, (F.col("method") == "pending") & (F.col("clean") == F.col("label_")), "left")
+    judged = fuzzy.join(tops, "label", "left").join(tax["names"].select("name", F.col("v").alias("official")), "name", "left")
+    sure = judged.where(strong | weak).select("label", F.when(strong, F.col("official")).otherwise(OUTLIER).alias("value"), F.when(strong, "DGI_FUZZY_STRONG").otherwise("DGI_NO_MATCH").alias("method"))
+    open_ = near.join(sure.select("label"), "label", "left_anti")
+    if arbitrator is not None:
+        told = arbitrator(open_).select("label", F.col("value").alias("name"), "method")
+        told = told.join(tax["names"].select("name", "v"), "name", "left").select("label", F.coalesce("v", F.lit(OUTLIER)).alias("value"), "method")
+    else:
+        told = open_.select("label").distinct().select("label", F.lit(OUTLIER).alias("value"), F.lit(OUTLIER).alias("method"))
+    settled = cut(to_public(cut(cached.unionByName(exact).unionByName(sure).unionByName(told)), known))
+    out = first.join(settled.select(F.col("label").alias("label_"), F.col("value").alias("v_"), F.col("method").alias("m_")), (F.col("method") == "pending") & (F.col("clean") == F.col("label_")), "left")
     waits = F.col("method") == "pending"
-    out = out.select(*[F.col(f"`{c}`") for c in values.columns], "clean", F.when(waits, F.col("v_")).otherwise(F.col("value")).alias("value"), F.when(waits, F.col("m_")).otherwise(F.col("method")).alias("method"))
-    return out, near.join(judged.where("m_ is null").select(F.col("label_").alias("label")), "label")
+    out = out.select(*[F.col(f"`{c}`") for c in values.columns], "clean", F.when(waits, F.coalesce("v_", F.lit(OUTLIER))).otherwise(F.col("value")).alias("value"), F.when(waits, F.coalesce("m_", F.lit(OUTLIER))).otherwise(F.col("method")).alias("method"))
+    return out, settled.select(F.col("label").alias("k"), F.col("value").alias("v"), "method")
 
 
 def foreign_entity(values: DataFrame, raw: str, entities: DataFrame | None = None, memory=None, mapping: dict[str, str] | None = None, order: str = "place") -> DataFrame:
@@ -280,7 +305,7 @@ def foreign_entity(values: DataFrame, raw: str, entities: DataFrame | None = Non
     public = public_entity(prepared.where("clean <> ''").select(F.col("clean").alias("label")), public_tables(entities, order)) if entities is not None else none
     steps = [
         Rule(None, clean == "", None),
-        *memory_steps(memory_table(memory, spark), [r, text.urstrip(r), clean]),
+        *memory_steps(memory_table(memory, spark), [clean]),
         Table("MAP_CIBLE", first_per_key(pairs(spark, {v: v for v in mapping.values() if v != OUTLIER}).select(F.lit(0).alias("i"), text.clean_label(F.col("k")).alias("k"), "v")), clean),
         Table("MAP", pairs(spark, mapping), clean),
         Rule(OUTLIER, clean == "NA"),
@@ -318,3 +343,14 @@ def field(df: DataFrame, kind: str, raw: str, out: str, witness: str | None = No
         table = reduce(lambda c, kv: F.when(F.col(f"`{out}`") == kv[0], kv[1]).otherwise(c), known.items(), F.lit(""))
         rows = rows.withColumn(f"{raw}_Categorie", table)
     return rows
+
+
+def entity_field(df: DataFrame, raw: str, out: str, tax_id: str | None, base: DataFrame, witness: str | None = None, **options) -> DataFrame:
+    """df plus the columns of field() for a local entity, resolved by name and tax id together."""
+    keys = [raw, *([tax_id] if tax_id and tax_id in df.columns else [])]
+    resolved, _ = local_entity(distinct_values(df, *keys), raw, tax_id if tax_id in keys else None, base, **options)
+    method = f"{raw}_method"
+    rows = attach(df, resolved, keys, out, method, {"clean": f"{raw}_clean"}).withColumn(f"{raw}_clean", F.coalesce(f"{raw}_clean", F.lit("")))
+    if witness:
+        rows = apply_na_rule(rows, raw, witness, out, method)
+    return rows.withColumn(f"{raw}_check", F.coalesce(F.col(f"`{out}`") == OUTLIER, F.lit(False)))

@@ -100,4 +100,4 @@ def arbitrate(near: DataFrame, client: Callable[[list[str]], str], options: Opti
     number = F.col("answer").try_cast("int")
     name = F.when(number.between(1, F.size("names")), F.get(F.col("names.name"), number - 1))
     done = F.col("status") == VERDICT
-    return joined.select("label", F.coalesce(F.when(done, name), F.lit(OUTLIER)).alias("value"), F.when(done & name.isNotNull(), "DGI_CLAUDE_ARBITRAGE").otherwise(OUTLIER).alias("method"), "status")
+    return joined.select("label", F.coalesce(F.when(done, name), F.lit(OUTLIER)).alias("value"), F.when(done, "DGI_CLAUDE_ARBITRAGE").otherwise(OUTLIER).alias("method"), "status")

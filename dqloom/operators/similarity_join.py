@@ -46,7 +46,9 @@ def best_names(labels: DataFrame, names: DataFrame, k: int = 3, cutoff: float =
 
 
 def nearest_by_edits(labels: DataFrame, names: DataFrame, k: int = 3) -> DataFrame:
-    """The k names with the fewest edits, in the JVM: label, rank, name, distance. names is a checked, small table."""
+    """The k names with the fewest edits, in the JVM: label, rank, name, distance. names has BLOCK_NAMES rows at most; best_names takes more."""
+    if names.limit(BLOCK_NAMES + 1).count() > BLOCK_NAMES:
+        raise ValueError(f"more than {BLOCK_NAMES} names")
     pairs = labels.select("label").join(F.broadcast(names.select("name", "place")), F.levenshtein("label", "name") <= F.greatest(F.length("label"), F.length("name")))
     scored = pairs.withColumn("distance", F.levenshtein("label", "name"))
     rank = F.row_number().over(Window.partitionBy("label").orderBy("distance", "place"))

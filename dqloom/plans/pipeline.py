@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import dictionaries as words
 from ..operators import fields as field_ops
 from ..operators import quality, report
 from ..operators.no_activity import add_global_witness
@@ -38,10 +39,15 @@ def _categorical(df: DataFrame, name: str, block: dict, options: dict) -> tuple[
     if raw not in df.columns:
         log.warning("%s: column %s isn't there, the field is left out", name, raw)
         return df, FieldResult(name, block)
-    given = dict(block.get("options") or {}) | options.get(name, {})
-    if block.get("flow"):
-        given["flow"] = block["flow"]
-    rows = field_ops.field(df, block["kind"], raw, out, block.get("witness"), block.get("categories"), **given)
+    kind, flow = block["kind"], block.get("flow", "OUT")
+    given = words.options_from(kind, words.load_json(block["dictionary"]), flow) if block.get("dictionary") else {}
+    if block.get("memory"):
+        given["memory"] = words.memory_from(block["memory"])
+    given |= dict(block.get("options") or {}) | options.get(name, {})
+    if kind == "local_entity":
+        rows = field_ops.entity_field(df, raw, out, block.get("tax_id"), witness=block.get("witness"), **given)
+    else:
+        rows = field_ops.field(df, kind, raw, out, block.get("witness"), block.get("categories"), **given, **({"flow": flow} if kind == "message_type" else {}))
     return rows, FieldResult(name, block, quality.classification(rows, raw, out), quality.outlier_stats(rows, raw, out, block.get("bank", "RefBanque")))
 
 
@@ -75,7 +81,7 @@ class Endpoint:
     """One configured endpoint. preprocess may add columns before the fields see the rows; options has dictionaries per field."""
 
     def __init__(self, spark: SparkSession, config: dict, state: StateStore | None = None, outlets: sinks.Outlets | None = None, preprocess: Callable[[DataFrame], DataFrame] | None = None, options: dict | None = None):
-        conf.validate_config(config, set(field_ops.RESOLVERS))
+        conf.validate_config(config, {*field_ops.RESOLVERS, "local_entity"})
         self.spark, self.config, self.state = spark, config, state
         self.outlets, self.options = outlets or sinks.Outlets(), options or {}
         self.preprocess = preprocess or self._witness

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _case(number: str, values: list[str | None]) -> str:
+def dirty(number: str, values: list[str | None]) -> str:
     """The values in turn by a number modulo their count."""
     arms = " ".join(f"WHEN {i} THEN " + ("NULL" if v is None else "'" + v.replace("'", "''") + "'") for i, v in enumerate(values))
     return f"CASE {number} % {len(values)} {arms} END"
@@ -27,17 +27,17 @@ TX = f"""
 SELECT o_orderkey AS row_id,
   CASE WHEN o_orderkey % 11 = 0 THEN 'NA' WHEN o_orderkey % 97 = 0 THEN NULL ELSE concat('REF', CAST(o_orderkey AS STRING)) END AS ReferenceTransaction,
   CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE concat('BANK', lpad(CAST(o_custkey % 12 AS STRING), 2, '0')) END AS RefBanque,
-  {_case("o_orderkey", CURRENCIES)} AS Devise,
-  {_case("(o_orderkey + o_custkey)", MESSAGES)} AS TypeSwfit,
-  {_case("(o_orderkey + 2 * o_custkey)", MODES)} AS ModeReglement,
-  {_case("(o_orderkey + 3 * o_custkey)", NATURES)} AS NatureEconomique,
-  {_case("(o_orderkey + 5 * o_custkey)", COUNTRIES)} AS Pays,
-  {_case("(o_orderkey + o_custkey)", PRODUCTS)} AS Produit,
-  {_case("o_custkey", BANKS)} AS NomCorrespondant,
-  {_case("(o_orderkey + o_custkey)", NAMES)} AS NomDonneurOrdre,
-  {_case("o_custkey", IDS)} AS NifNni,
+  {dirty("o_orderkey", CURRENCIES)} AS Devise,
+  {dirty("(o_orderkey + o_custkey)", MESSAGES)} AS TypeSwfit,
+  {dirty("(o_orderkey + 2 * o_custkey)", MODES)} AS ModeReglement,
+  {dirty("(o_orderkey + 3 * o_custkey)", NATURES)} AS NatureEconomique,
+  {dirty("(o_orderkey + 5 * o_custkey)", COUNTRIES)} AS Pays,
+  {dirty("(o_orderkey + o_custkey)", PRODUCTS)} AS Produit,
+  {dirty("o_custkey", BANKS)} AS NomCorrespondant,
+  {dirty("(o_orderkey + o_custkey)", NAMES)} AS NomDonneurOrdre,
+  {dirty("o_custkey", IDS)} AS NifNni,
   CASE WHEN o_orderkey % 11 = 0 AND o_orderkey % 2 = 0 THEN 0.0 WHEN o_orderkey % 17 = 0 THEN -o_totalprice WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_totalprice END AS MontantTransaction,
-  {_case("o_custkey", TEXT_NUMBERS)} AS TauxDeChange,
+  {dirty("o_custkey", TEXT_NUMBERS)} AS TauxDeChange,
   o_orderdate AS DateTransaction,
   CASE WHEN o_orderkey % 19 = 0 THEN o_orderdate WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 31 = 0 THEN o_orderdate - INTERVAL 3 DAY ELSE o_orderdate + INTERVAL 1 DAY END AS dtCr
 FROM {{orders}}"""

@@ -65,16 +65,47 @@ def entities(spark):
 
 def test_local_entity_branches(spark):
     base, public = entities(spark)
-    rows = [("Anything", "00-00-00-17"), ("societe alpha s.a.r.l", None), ("SOMELEC Nouakchott", None), ("Mohamed Ould Ahmed", None), ("ETS Mohamed Salem", None), ("ETS du Nord", None), ("12345", None), ("NA", None), (" ", None), ("BETA INDUSTRIE", "11111111"), ("zzzz qqqq wwww", None), ("Sam Trading Monaco", None), ("KNOWN", None), ("Final Name", None), ("ALI ET FILS", None)]
+    rows = [("Anything", "00-00-00-17"), ("societe alpha s.a.r.l", None), ("SOMELEC Nouakchott", None), ("Mohamed Ould Ahmed", None), ("ETS Mohamed Salem", None), ("ETS du Nord", None), ("12345", None), ("NA", None), (" ", None), ("BETA INDUSTRIE", "11111111"), ("zzzz qqqq wwww", None), ("Sam Trading Monaco", None), ("KNOWN", None), ("Final Name", None), ("ALI ET FILS", None), ("GAMMA TRADE CO", None), ("SOC MAURITANIENNE ELECTRICITE", None)]
     df = spark.createDataFrame(rows, "n string, t string")
-    out, near = fields.local_entity(df, "n", "t", base, public, memory={"KNOWN": "REMEMBERED"}, mapping={"x": "Final Name"})
+    out, settled = fields.local_entity(df, "n", "t", base, public, memory={"KNOWN": "REMEMBERED"}, mapping={"x": "Final Name"})
     got = {r.n: (r.value, r.method) for r in out.collect()}
     assert got["Anything"] == ("Société Alpha SARL", "NIF_EXACT") and got["societe alpha s.a.r.l"] == ("Société Alpha SARL", "DGI_EXACT_NORM")
     assert got["SOMELEC Nouakchott"] == ("SOMELEC", "PUBLIC_ENT") and got["Mohamed Ould Ahmed"] == ("MOHAMED OULD AHMED", "PARTICULIER")
     assert got["ETS Mohamed Salem"] == ("ETS MOHAMED SALEM", "ETS_PERSONNEL") and got["ETS du Nord"] == ("OUTLIER", "ETS_OUTLIER") and got["12345"] == ("OUTLIER", "OUTLIER") and got["NA"] == ("OUTLIER", "OUTLIER") and got[" "] == (None, None)
-    assert got["BETA INDUSTRIE"] == ("BETA INDUSTRIES", "DGI_FUZZY_STRONG") and got["zzzz qqqq wwww"] == ("ZZZZ QQQQ WWWW", "DGI_NO_MATCH")
+    assert got["BETA INDUSTRIE"] == ("BETA INDUSTRIES", "DGI_FUZZY_STRONG") and got["zzzz qqqq wwww"] == ("OUTLIER", "DGI_NO_MATCH")
     assert got["KNOWN"] == ("REMEMBERED", "WARM") and got["Final Name"] == ("Final Name", "MAP_CIBLE") and got["ALI ET FILS"][1] != "PARTICULIER" and got["Sam Trading Monaco"][1] != "PUBLIC_ENT"
-    assert {r.label for r in near.collect()} == {k.upper() for k, v in got.items() if v[1] is None and k.strip()}
+    assert got["GAMMA TRADE CO"] == ("OUTLIER", "OUTLIER")  # near a name, and nobody to ask
+    cache = memory.cacheable_matches(settled.select(F.col("k").alias("clean"), F.col("v").alias("value"), "method"))
+    assert {r.k for r in cache.collect()} >= {"ZZZZ QQQQ WWWW", "BETA INDUSTRIE"} and "GAMMA TRADE CO" not in {r.k for r in cache.collect()}
+    again, _ = fields.local_entity(df, "n", "t", base, public, memory={"KNOWN": "REMEMBERED"}, mapping={"x": "Final Name"}, cache=cache)
+    assert {r.n: (r.value, r.method) for r in again.collect()} == got
+
+
+def test_arbitration_and_public_redirect(spark):
+    base, public = entities(spark)
+    base = base.unionByName(spark.createDataFrame([(9, "1", "SOCIETE MAURITANIENNE D ELECTRICITE", "SA")], base.schema))
+    df = spark.createDataFrame([("GAMMA TRADE CO", None), ("SOCIETE MAURITANIENNE DELECTRICITE", None), ("GAMMA COMPAGNY", None), ("GAMMA TRAD", None)], "n string, t string")
+
+    def client(batch):
+        if any("COMPAGNY" in v for v in batch):
+            raise TimeoutError
+        return "\n".join(f"{i}. {'OUTLIER' if v.startswith('GAMMA TRAD |') else '1'}" for i, v in enumerate(batch, 1))
+
+    out, _ = fields.local_entity(df, "n", "t", base, public, arbitrator=lambda near: resolver.arbitrate(near, client, resolver.Options(batch=1)))
+    got = {r.n: (r.value, r.method) for r in out.collect()}
+    assert got["GAMMA TRADE CO"] == ("GAMMA TRADING COMPANY", "DGI_CLAUDE_ARBITRAGE") and got["GAMMA TRAD"] == ("OUTLIER", "DGI_CLAUDE_ARBITRAGE") and got["GAMMA COMPAGNY"] == ("OUTLIER", "OUTLIER")
+    assert got["SOCIETE MAURITANIENNE DELECTRICITE"] == ("SOMELEC", "PUBLIC_ENT")
+    rows = fields.entity_field(df.withColumn("w", F.lit("R")), "n", "o", "t", base, "w", entities=public)
+    assert rows.count() == 4 and {"n_clean", "n_method", "n_check", "o"} <= set(rows.columns)
+
+
+def test_dictionary_files(tmp_path):
+    import json
+
+    path = tmp_path / "m.json"
+    path.write_text(json.dumps({"classif": {"a": "B"}}))
+    assert dictionaries.memory_from(str(path)) == {"a": "B"} and dictionaries.memory_from(str(tmp_path / "no.json")) == {}
+    assert dictionaries.options_from("message_type", {"valid_fe": ["X"], "known_noise": []}, "IN") == {"codes": ["X"], "noise": []}
 
 
 def test_best_names_over_blocks_is_the_same(spark, monkeypatch):
@@ -143,7 +174,7 @@ def test_resolver_outcomes(spark):
 def test_arbitration(spark):
     near = spark.createDataFrame([("A", 1, "ONE"), ("A", 2, "TWO"), ("B", 1, "X")], "label string, rank int, name string")
     got = {r.label: (r.value, r.method, r.status) for r in resolver.arbitrate(near, lambda b: "\n".join(f"{i}. {'2' if v.startswith('A') else 'OUTLIER'}" for i, v in enumerate(b, 1))).collect()}
-    assert got == {"A": ("TWO", "DGI_CLAUDE_ARBITRAGE", "verdict"), "B": ("OUTLIER", "OUTLIER", "verdict")}
+    assert got == {"A": ("TWO", "DGI_CLAUDE_ARBITRAGE", "verdict"), "B": ("OUTLIER", "DGI_CLAUDE_ARBITRAGE", "verdict")}
 
 
 def test_corrections_go_under_three_forms_and_win(spark):
