@@ -34,12 +34,16 @@ def ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter text with a stretch of its length, also where it hangs over an end."""
+    """The best ratio of the shorter text (of equally long ones, either) with a stretch of its length, also where it hangs over an end."""
     if len(a) > len(b):
         a, b = b, a
-    n = len(a)
-    if not n:
+    if not a:
         return 0.0
+    return max(_slide(a, b), _slide(b, a)) if len(a) == len(b) else _slide(a, b)
+
+
+def _slide(a: str, b: str) -> float:
+    n = len(a)
     letters = set(a)
     best = 0.0
     for i in range(1 - n, len(b)):
