@@ -5,6 +5,8 @@ passage put into other prose still has its own paragraphs. Equal paragraphs are
 tuned to find 99.8 % of pairs at the threshold, join those that collide; exact Jaccard of their
 word shingles verifies each pair; components of classes are the clusters. The first place of a cluster stays. Elsewhere, a
 stretch of clustered paragraphs is removed where it has enough words to be a passage.
+
+A paragraph of few words is compared together with what follows it, and only by equality.
 """
 
 from __future__ import annotations
@@ -22,14 +24,15 @@ from .components import components
 
 SHINGLE, PERCENT = 5, 80
 BANDS = 4  # of one MinHash each: a pair at 0.8 collides in some band with 1 - 0.2 ** 4
-WORDS_LEAST = 5  # words of a paragraph that is compared
+WORDS_LEAST = 5  # words of a paragraph that is compared by itself
 PASSAGE = 25  # clustered words in a stretch that make it a repeated passage (its cut-off edges don't count)
-GAP = 1  # paragraphs between that may differ
+GAP = 1  # paragraphs between that may differ; short ones count as one for each WORDS_LEAST words
+SHORT_SALT = np.uint64(0xA24BAED4963EE407)
 SALTS = [0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(BANDS)]
 
 
 class Paragraphs:
-    """Paragraphs of a slice of texts: first word, end, row, place in the row and digest of each."""
+    """Paragraphs of a slice of texts: first word, end, row and digest of each; the short ones apart."""
 
     def __init__(self, col: pa.Array):
         self.words = w = Words(col, NON_SPACE)
@@ -45,14 +48,45 @@ class Paragraphs:
             end = np.append(start[1:], n)
         else:
             start = end = np.zeros(0, np.int64)
-        row = w.row[start]
-        place = np.arange(len(start)) - np.searchsorted(row, row)
-        long_ = end - start >= WORDS_LEAST
-        self.start, self.end, self.row, self.place = start[long_], end[long_], row[long_], place[long_]
-        up, down = _powers(n + 1)
+        self.all = start, end
+        self.long = end - start >= WORDS_LEAST
+        self.start, self.end = start[self.long], end[self.long]
+        self.row = w.row[self.start]
+        up, self._down = _powers(n + 1)
+        with np.errstate(over="ignore"):
+            self._total = np.append(np.zeros(1, np.uint64), np.cumsum(w.hash * up[:n], dtype=np.uint64))
+        self.digest = self._digests(self.start, self.end).view(np.int64)
+
+    def _digests(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            total = np.append(np.zeros(1, np.uint64), np.cumsum(w.hash * up[:n], dtype=np.uint64))
-            self.digest = mix64((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64)).view(np.int64)
+            return mix64((self._total[end] - self._total[start]) * self._down[start] + (end - start).astype(np.uint64))
+
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """How many paragraphs of its row stand before each one of all, and up to its end. Short ones in a row count as one for each WORDS_LEAST words."""
+        start, end = self.all
+        row = self.words.row[start]
+        opens = self.long.copy()  # where a run of short ones starts or a long one stands
+        opens[1:] |= self.long[:-1] | (row[1:] != row[:-1])
+        opens[:1] = True
+        before = start - start[np.maximum.accumulate(np.where(opens, np.arange(len(start)), 0))]
+        step = np.where(self.long, 1, (before + end - start) // WORDS_LEAST - before // WORDS_LEAST)
+        until = np.cumsum(step)
+        place = until - step
+        base = place[np.searchsorted(row, row)]
+        return place - base, until - base
+
+    def short(self) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers among all of the short paragraphs of rows of WORDS_LEAST words or more, and their digests with what follows up to that many (at a row's end, what precedes)."""
+        start, end = self.all
+        w = self.words
+        pick = np.flatnonzero(~self.long)
+        pick = pick[self.sizes[w.row[start[pick]]] >= WORDS_LEAST]
+        first, last = w.offsets[w.row[start[pick]]], w.offsets[w.row[start[pick]] + 1]
+        upto = np.searchsorted(end, np.minimum(start[pick] + WORDS_LEAST, last))
+        upto = end[upto] if len(pick) else pick
+        lacks = upto - start[pick] < WORDS_LEAST
+        since = start[np.searchsorted(start, np.maximum(first, upto - WORDS_LEAST), "right") - 1] if len(pick) else pick
+        return pick, (self._digests(np.where(lacks, since, start[pick]), upto) ^ SHORT_SALT).view(np.int64)
 
     def shingles(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes of the k-word shingles of all words, and each paragraph's first and end among them."""
@@ -100,14 +134,20 @@ def paragraph_rows(source: DataFrame) -> DataFrame:
         for part in text_slices(batches, "text"):
             names = part.schema.names
             p = Paragraphs(part.column(names.index("text")))
-            at = pa.array(np.concatenate([np.arange(part.num_rows), p.row]))
+            w, (place, until), (start, end) = p.words, p.places(), p.all
+            short, short_digest = p.short()
+            unit = np.concatenate([np.flatnonzero(p.long), short])
+            first = start[unit]
+            row = w.row[first]
+            at = pa.array(np.concatenate([np.arange(part.num_rows), row]))
             none = np.zeros(part.num_rows, np.int64)
+            columns = (none - 1, place[unit]), (none, until[unit]), (none, first - w.offsets[row]), (p.sizes, (end - start)[unit]), (none, p.digest, short_digest)
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(names.index(c)).take(at) for c in ("key", "address", "row")), *(pa.array(np.concatenate(x).astype(np.int64)) for x in ((none - 1, p.place), (none, p.start - p.words.offsets[p.row]), (p.sizes, p.end - p.start), (none, p.digest)))],
-                names=["key", "address", "row", "place", "start", "words", "digest"],
+                [*(part.column(names.index(c)).take(at) for c in ("key", "address", "row")), *(pa.array(np.concatenate(x).astype(np.int64)) for x in columns)],
+                names=["key", "address", "row", "place", "until", "start", "words", "digest"],
             )
 
-    return source.mapInArrow(run, f"key {kind}, address bigint, row bigint, place bigint, start bigint, words bigint, digest bigint")
+    return source.mapInArrow(run, f"key {kind}, address bigint, row bigint, place bigint, until bigint, start bigint, words bigint, digest bigint")
 
 
 def band_rows(source: DataFrame) -> DataFrame:
@@ -189,27 +229,37 @@ def clusters(source: DataFrame, units: DataFrame, percent: int) -> DataFrame:
 
 def _passages(found: list, least: int, gap: int) -> dict:
     """The stretches of clustered paragraphs of one document that have enough words, and what of them isn't a first place."""
-    out = {"n_repeated": 0, "repeated_words": 0, "removed_words": 0, "spans": []}
+    out = {"n_repeated": 0, "repeated_words": 0, "removed_words": 0}
+    removed: list = []
     stretch: list = []
 
     def close():
         if sum(x["words"] for x in stretch) >= least:
             out["n_repeated"] += len(stretch)
             out["repeated_words"] += sum(x["words"] for x in stretch)
-            for x in stretch:
-                if not x["stays"]:
-                    out["removed_words"] += x["words"]
-                    if out["spans"] and out["spans"][-1]["start"] + out["spans"][-1]["length"] == x["start"]:
-                        out["spans"][-1]["length"] += x["words"]
-                    else:
-                        out["spans"].append({"start": x["start"], "length": x["words"]})
+            removed.extend((x["start"], x["start"] + x["words"]) for x in stretch if not x["stays"])
         stretch.clear()
 
-    for x in sorted(found, key=lambda x: x["place"]):
-        if stretch and x["place"] - stretch[-1]["place"] > gap + 1:
+    found = sorted(found, key=lambda x: x["start"])
+    for x in found:
+        if stretch and x["place"] - stretch[-1]["until"] > gap:
             close()
         stretch.append(x)
     close()
+    spans = _union(removed)
+    out["removed_words"] = sum(b - a for a, b in spans)
+    out["spans"] = [{"start": a, "length": b - a} for a, b in spans]
+    return out
+
+
+def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of words joined where they meet, in order."""
+    out: list = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
     return out
 
 
@@ -224,11 +274,13 @@ def repeated_passages(docs: DataFrame, percent: int = PERCENT, passage: int = PA
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")).withColumn("address", F.xxhash64("text"))
     units = written(paragraph_rows(source.withColumn("row", F.monotonically_increasing_id())), "paragraphs")
-    found = written(units.where("place >= 0").join(clusters(source.select("text"), units, percent), "digest"), "found")
-    first = found.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "place")).alias("first"))
-    found = found.join(written(first.select("component", F.col("first.row").alias("first_row"), F.col("first.place").alias("first_place")), "firsts"), "component")
-    stays = (F.col("first_row") == F.col("row")) & (F.col("first_place") == F.col("place"))
-    grouped = found.groupBy("row").agg(F.collect_list(F.struct("place", "start", "words", stays.alias("stays"))).alias("found"))
+    narrow = units.where("place >= 0").select("row", "place", "until", "start", "words", "digest")
+    found = narrow.join(clusters(source.select("text"), units, percent), "digest").join(units.where("place = -1").select("row", "key"), "row")
+    found = written(found, "found")
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "start")).alias("first"))
+    found = found.join(written(first.select("component", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")), "firsts"), "component")
+    stays = (F.col("first_row") == F.col("row")) & (F.col("first_start") == F.col("start"))
+    grouped = found.groupBy("row").agg(F.collect_list(F.struct("place", "until", "start", "words", stays.alias("stays"))).alias("found"))
     judge = F.udf(lambda x: _passages(x, passage, GAP), "n_repeated bigint, repeated_words bigint, removed_words bigint, spans array<struct<start:bigint,length:bigint>>")
     judged = grouped.select("row", judge("found").alias("r")).select("row", "r.*")
     zero = F.lit(0).cast("long")
