@@ -6,7 +6,9 @@ tuned to find 99.8 % of pairs at the threshold, join those that collide; exact J
 word shingles verifies each pair; components of classes are the clusters. The first place of a cluster stays. Elsewhere, a
 stretch of clustered paragraphs is removed where it has enough words to be a passage.
 
-A paragraph of few words is compared together with what follows it, and only by equality.
+A paragraph of few words is compared together with what follows it, and only by equality. Runs of words are compared wherever
+they stand, so a passage needs no boundary of paragraphs: of the RUN-word runs in each window of WINDOW, the one of the
+smallest hash is looked up. Equal texts of RUN + WINDOW - 1 = 50 words share one with certainty.
 """
 
 from __future__ import annotations
@@ -27,12 +29,13 @@ BANDS = 4  # of one MinHash each: a pair at 0.8 collides in some band with 1 - 0
 WORDS_LEAST = 5  # words of a paragraph that is compared by itself
 PASSAGE = 25  # clustered words in a stretch that make it a repeated passage (its cut-off edges don't count)
 GAP = 1  # paragraphs between that may differ; short ones count as one for each WORDS_LEAST words
-SHORT_SALT = np.uint64(0xA24BAED4963EE407)
+RUN, WINDOW = PASSAGE, 26  # words of a run that is compared wherever it stands, and runs of which one is chosen
+SHORT_SALT, RUN_SALT = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 SALTS = [0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(BANDS)]
 
 
 class Paragraphs:
-    """Paragraphs of a slice of texts: first word, end, row and digest of each; the short ones apart."""
+    """Paragraphs of a slice of texts: first word, end, row and digest of each; the short ones and the runs apart."""
 
     def __init__(self, col: pa.Array):
         self.words = w = Words(col, NON_SPACE)
@@ -88,6 +91,21 @@ class Paragraphs:
         since = start[np.searchsorted(start, np.maximum(first, upto - WORDS_LEAST), "right") - 1] if len(pick) else pick
         return pick, (self._digests(np.where(lacks, since, start[pick]), upto) ^ SHORT_SALT).view(np.int64)
 
+    def runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """First words and digests of the chosen runs."""
+        row, m = self.words.row, len(self.words.hash) - RUN + 1
+        if m < WINDOW:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.arange(m)
+        value = self._digests(at, at + RUN) ^ RUN_SALT
+        best, width = at, 1
+        while width < WINDOW:
+            shift = min(width, WINDOW - width)
+            left, right = best[: len(best) - shift], best[shift:]
+            best, width = np.where(value[left] <= value[right], left, right), width + shift
+        chosen = np.unique(best[row[: len(best)] == row[RUN + WINDOW - 2 :]])
+        return chosen, value[chosen].view(np.int64)
+
     def shingles(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hashes of the k-word shingles of all words, and each paragraph's first and end among them."""
         return self.words.grams(SHINGLE)[0], self.start, self.end - SHINGLE + 1
@@ -127,7 +145,7 @@ class Paragraphs:
 
 
 def paragraph_rows(source: DataFrame) -> DataFrame:
-    """A row for each paragraph, and one of place -1 for each document with its number of words."""
+    """A row for each paragraph and each chosen run (until is -1), and one of place -1 for each document with its number of words."""
     kind = source.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,12 +154,13 @@ def paragraph_rows(source: DataFrame) -> DataFrame:
             p = Paragraphs(part.column(names.index("text")))
             w, (place, until), (start, end) = p.words, p.places(), p.all
             short, short_digest = p.short()
+            runs, run_digest = p.runs()
             unit = np.concatenate([np.flatnonzero(p.long), short])
-            first = start[unit]
+            first = np.concatenate([start[unit], runs])
             row = w.row[first]
             at = pa.array(np.concatenate([np.arange(part.num_rows), row]))
             none = np.zeros(part.num_rows, np.int64)
-            columns = (none - 1, place[unit]), (none, until[unit]), (none, first - w.offsets[row]), (p.sizes, (end - start)[unit]), (none, p.digest, short_digest)
+            columns = (none - 1, place[unit], 0 * runs), (none, until[unit], 0 * runs - 1), (none, first - w.offsets[row]), (p.sizes, (end - start)[unit], 0 * runs + RUN), (none, p.digest, short_digest, run_digest)
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(names.index(c)).take(at) for c in ("key", "address", "row")), *(pa.array(np.concatenate(x).astype(np.int64)) for x in columns)],
                 names=["key", "address", "row", "place", "until", "start", "words", "digest"],
@@ -228,24 +247,36 @@ def clusters(source: DataFrame, units: DataFrame, percent: int) -> DataFrame:
 
 
 def _passages(found: list, least: int, gap: int) -> dict:
-    """The stretches of clustered paragraphs of one document that have enough words, and what of them isn't a first place."""
+    """The stretches of clustered paragraphs and runs of one document that have enough words, and what of them isn't a first place."""
     out = {"n_repeated": 0, "repeated_words": 0, "removed_words": 0}
     removed: list = []
+    taken: list = []
     stretch: list = []
 
     def close():
         if sum(x["words"] for x in stretch) >= least:
             out["n_repeated"] += len(stretch)
             out["repeated_words"] += sum(x["words"] for x in stretch)
+            taken.extend((x["start"], x["start"] + x["words"]) for x in stretch)
             removed.extend((x["start"], x["start"] + x["words"]) for x in stretch if not x["stays"])
         stretch.clear()
 
     found = sorted(found, key=lambda x: x["start"])
     for x in found:
+        if x["until"] < 0:
+            continue
         if stretch and x["place"] - stretch[-1]["until"] > gap:
             close()
         stretch.append(x)
     close()
+    # Runs count outside those stretches, where what is left of them joined has enough words by itself.
+    runs = [x for x in found if x["until"] < 0]
+    kept = _union([(x["start"], x["start"] + x["words"]) for x in runs if x["stays"]])
+    for piece in _without(_union([(x["start"], x["start"] + x["words"]) for x in runs]), taken):
+        if piece[1] - piece[0] >= least:
+            out["n_repeated"] += 1
+            out["repeated_words"] += piece[1] - piece[0]
+            removed.extend(_without([piece], kept))
     spans = _union(removed)
     out["removed_words"] = sum(b - a for a, b in spans)
     out["spans"] = [{"start": a, "length": b - a} for a, b in spans]
@@ -263,8 +294,25 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _without(spans: list[tuple[int, int]], others: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What of spans no other one covers; both are in order."""
+    out, i = [], 0
+    for a, b in spans:
+        while i < len(others) and others[i][1] <= a:
+            i += 1
+        j = i
+        while j < len(others) and others[j][0] < b:
+            if others[j][0] > a:
+                out.append((a, others[j][0]))
+            a = max(a, others[j][1])
+            j += 1
+        if a < b:
+            out.append((a, b))
+    return out
+
+
 def repeated_passages(docs: DataFrame, percent: int = PERCENT, passage: int = PASSAGE, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per row: key, n_words, n_repeated (paragraphs), repeated_words, removed_words, has_repeat, spans, address.
+    """Per row: key, n_words, n_repeated (paragraphs, and stretches found by runs alone), repeated_words, removed_words, has_repeat, spans, address.
 
     Words stand between ASCII blanks. has_repeat tells that the document shares a passage with another one,
     the first of them included; spans (first word, words) are what is removed. Null and empty texts have no words and no repeats. Repeated

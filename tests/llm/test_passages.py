@@ -38,3 +38,17 @@ def test_short_paragraphs_that_differ_still_end_a_stretch(spark):
     a, b = sentences([12]), sentences([12, 7])
     got = flagged(spark, [f"{a}\n{lines(30, 3)}\n{b}" for _ in range(2)])
     assert not any(r.has_repeat for r in got.values())
+
+
+def test_passages_at_arbitrary_words(spark):
+    texts = []
+    for sizes in ([90], [30, 40], [14, 13, 12, 14, 13]):
+        passage = sentences(sizes).split(" ")[1:52]
+        for _ in range(2):
+            texts.append(" ".join([*words(40), *passage, *words(40)]))
+    texts += [" ".join(words(131)) for _ in range(3)]
+    got = flagged(spark, texts)
+    assert {i for i, r in got.items() if r.has_repeat} == set(range(6))
+    assert all((got[i].removed_words > 0) == (i % 2 == 1) for i in range(6))
+    for i in (1, 3, 5):
+        assert all(40 <= s.start and s.start + s.length <= 91 for s in got[i].spans)
