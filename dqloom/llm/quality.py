@@ -1,13 +1,13 @@
 """Quality classifier by co-training.
 
 Two classifiers see different views of a document: the words and style of its text, and its page metadata. Over
-rounds each labels the unlabelled documents it is sure of for the other one to learn from. Both are then
+rounds each scores all unlabelled documents and labels those it is surest of for the other one to learn from. Both are then
 calibrated on labelled documents kept apart, and combined by a logistic regression of the two.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,23 +17,23 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, Words, bounded_batches, fresh, mix64, text_slices
+from .common import ALNUM, NON_SPACE, Words, bounded_batches, fresh, mix64, text_slices, written
 
 BUCKETS = 1 << 17  # hashed words of the text view
 META_BUCKETS = 1 << 12
 STATS = 14
-LABELLED_MOST, POOL_MOST = 5000, 4000  # labelled and unlabelled documents that are fitted on, about
+LABELLED_MOST = 5000  # labelled documents that are fitted on
 SEEN_LEAST = 4  # documents of the sample that a feature occurs in to be used
 ROUNDS, SURE, ADDED_MOST = 3, 0.97, 500
 METADATA = ("source", "lang")
 
 
 def text_view(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row offsets and hashed distinct words of each text, and its style in STATS numbers."""
-    w = Words(col, NON_SPACE)
+    """Row offsets and hashed distinct words of each text, as they stand between blanks and as runs of letters and digits, and its style in STATS numbers."""
+    w, plain = Words(col, NON_SPACE), Words(col, ALNUM)
     rows, n = w.rows, np.maximum(1, np.diff(w.offsets)).astype(float)
-    bucket = (w.hash % np.uint64(BUCKETS)).astype(np.int64)
-    cell = np.unique(w.row.astype(np.int64) * BUCKETS + bucket)
+    both = np.concatenate([w.row, plain.row]).astype(np.int64), np.concatenate([w.hash, mix64(plain.hash ^ np.uint64(7))])
+    cell = np.unique(both[0] * BUCKETS + (both[1] % np.uint64(BUCKETS)).astype(np.int64))
     row = cell // BUCKETS
     per = lambda flags: np.bincount(w.row, weights=flags, minlength=rows) / n
     raw = np.frombuffer(b"".join(x.encode() for x in pa.compute.fill_null(col, "").to_pylist()), np.uint8)
@@ -47,7 +47,7 @@ def text_view(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     punct = np.isin(raw, np.frombuffer(b"!\"#$%&()*+/:;<=>?@[\\]^_{|}~", np.uint8))
     stats = np.stack(
         [
-            per(again), np.bincount(row, minlength=rows) / n, np.log1p(n) / 5, per(length) / 10, np.sqrt(np.maximum(0, per(length**2) - per(length) ** 2)) / 10,
+            per(again), np.bincount(np.unique(w.row.astype(np.int64) * BUCKETS + (w.hash % np.uint64(BUCKETS)).astype(np.int64)) // BUCKETS, minlength=rows) / n, np.log1p(n) / 5, per(length) / 10, np.sqrt(np.maximum(0, per(length**2) - per(length) ** 2)) / 10,
             per(np.isin(last, [46, 63])), per(np.isin(last, [44, 59, 58])), per(last == 33), share((raw >= 65) & (raw <= 90)), share((raw >= 48) & (raw <= 57)),
             share(punct), share(raw >= 128), share(raw == 10) * 20, share(raw == 124) * 5,
         ],
@@ -94,16 +94,19 @@ def fit_linear(offsets, index, stats, y, weight, buckets: int, steps: int = 120,
     row = np.repeat(np.arange(n), np.diff(offsets))[keep]
     names, index = np.unique(index[keep], return_inverse=True)
     share = weight * np.where(y == 1, 0.5 / max(1e-9, (weight * (y == 1)).sum()), 0.5 / max(1e-9, (weight * (y == 0)).sum()))
+    # A feature counts by how much more often one class has it, so the many that say nothing don't drown the few that do.
+    least = 2 * share.max()
+    ratio = np.log((np.bincount(index, weights=(share * (y == 1))[row], minlength=len(names)) + least) / (np.bincount(index, weights=(share * (y == 0))[row], minlength=len(names)) + least))
     p = np.zeros(len(names) + x.shape[1] + 1)
     k, m, v = len(names), np.zeros(len(p)), np.zeros(len(p))
     for step in range(1, steps + 1):
-        z = np.bincount(row, weights=p[index], minlength=n) + x @ p[k:-1] + p[-1]
+        z = np.bincount(row, weights=(p[:k] * ratio)[index], minlength=n) + x @ p[k:-1] + p[-1]
         g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
-        grad = np.concatenate([np.bincount(index, weights=g[row], minlength=k), x.T @ g, [g.sum()]]) + decay * np.append(p[:-1], 0)
+        grad = np.concatenate([ratio * np.bincount(index, weights=g[row], minlength=k), x.T @ g, [g.sum()]]) + decay * np.append(p[:-1], 0)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     weights = np.zeros(buckets)
-    weights[names] = p[:k]
+    weights[names] = p[:k] * ratio
     return Linear(weights, p[k:-1], mean, scale, float(p[-1]))
 
 
@@ -125,6 +128,7 @@ class CoTrained:
     calibrations: list[np.ndarray]
     mix: np.ndarray
     added: list[tuple[int, int]] = field(default_factory=list)
+    cut: float = 0.5  # the score from which recall and precision are best on the labels apart, recall counting twice; 0.5 at most
 
     def views(self, text, meta) -> np.ndarray:
         z = [self.text.logits(*text), self.meta.logits(*meta)]
@@ -141,48 +145,76 @@ def _take(view, rows):
     return np.append(0, ends), index[np.repeat(offsets[:-1][rows] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], stats[rows]
 
 
-def cotrain(text, meta, y: np.ndarray, apart: np.ndarray) -> CoTrained:
-    """y: 1, 0 or -1 for unlabelled; apart: labelled rows for calibration alone."""
-    labelled = np.flatnonzero((y >= 0) & ~apart)
-    held = np.flatnonzero((y >= 0) & apart)
-    pool = np.flatnonzero(y < 0)
-    extra = [np.full(len(y), -1.0), np.full(len(y), -1.0)]  # what each view has been told
+def _joined(a, b):
+    return np.concatenate([a[0], a[0][-1] + b[0][1:]]), np.concatenate([a[1], b[1]]), np.concatenate([a[2], b[2]])
+
+
+def _recall_cut(scores: np.ndarray, y: np.ndarray) -> float:
+    best, cut = -1.0, 0.5
+    for c in [0.5, *np.unique(scores[(y == 1) & (scores < 0.5)])[::-1]]:
+        said, right = (scores >= c).sum(), ((scores >= c) & (y == 1)).sum()
+        f = 5 * right / max(1, said + 4 * (y == 1).sum())
+        if f > best:
+            best, cut = f, float(c)
+    return cut
+
+
+def rounds(text, meta, y: np.ndarray, apart: np.ndarray) -> Generator:
+    """Learns in rounds: yields the turn, both models and their calibrations, and is sent, for each view, what it is surest of: the other view's features and the labels."""
+    labelled, held = np.flatnonzero((y >= 0) & ~apart), np.flatnonzero((y >= 0) & apart)
     views, buckets = (text, meta), (BUCKETS, META_BUCKETS)
-    added = []
+    told, added = [None, None], []
     for turn in range(ROUNDS + 1):
         models, cal = [], []
-        for view, told, size in zip(views, extra, buckets, strict=True):
-            rows = np.concatenate([labelled, np.flatnonzero(told >= 0)])
-            target = np.where(told[rows] >= 0, told[rows], y[rows])
-            weight = np.where(told[rows] >= 0, 0.5, 1.0)
-            models.append(fit_linear(*_take(view, rows), target, weight, size))
+        for view, new, size in zip(views, told, buckets, strict=True):
+            rows, target, weight = _take(view, labelled), y[labelled], np.ones(len(labelled))
+            if new is not None and len(new[1]):
+                rows, target, weight = _joined(rows, new[0]), np.concatenate([target, new[1]]), np.concatenate([weight, np.full(len(new[1]), 0.5)])
+            models.append(fit_linear(*rows, target, weight, size))
             cal.append(logistic(np.clip(models[-1].logits(*_take(view, held)), -30, 30)[:, None], y[held].astype(float)) if len(held) else np.array([1.0, 0.0]))
-        if turn == ROUNDS or not len(pool):
-            break
-        counts = []
-        for i in (0, 1):
-            z = cal[i][0] * np.clip(models[i].logits(*_take(views[i], pool)), -30, 30) + cal[i][1]
-            sure = np.flatnonzero(np.abs(z) >= np.log(SURE / (1 - SURE)))
-            sure = sure[np.argsort(-np.abs(z[sure]), kind="stable")][: ADDED_MOST * (turn + 1)]
-            extra[1 - i][pool[sure]] = z[sure] > 0
-            counts.append(len(sure))
-        added.append(tuple(counts))
+        if turn < ROUNDS:
+            sure = yield turn, models, cal
+            told = [sure[1], sure[0]]
+            added.append(tuple(0 if x is None else len(x[1]) for x in sure))
     out = CoTrained(models[0], models[1], cal, np.array([1.0, 0.0, 0.0]), added)
     if len(held):
-        out.mix = logistic(out.views(_take(text, held), _take(meta, held)), y[held].astype(float))
+        known = _take(text, held), _take(meta, held)
+        out.mix = logistic(out.views(*known), y[held].astype(float))
+        out.cut = _recall_cut(out.score(*known), y[held])
     return out
 
 
-def _sample(docs: DataFrame, labels: DataFrame, targets: list[str], metadata: list[str], text: str, key: str) -> pd.DataFrame | None:
-    """Features of a bounded sample: labelled documents, chosen by a hash of their keys, and unlabelled ones."""
+def cotrain(text, meta, y: np.ndarray, apart: np.ndarray) -> CoTrained:
+    """y: 1, 0 or -1 for unlabelled; apart: labelled rows for calibration alone."""
+    pool, views = np.flatnonzero(y < 0), (text, meta)
+    learner = rounds(text, meta, y, apart)
+    state = next(learner)
+    while True:
+        turn, models, cal = state
+        found = []
+        for i in (0, 1):
+            z = _certain(models[i], cal[i], _take(views[i], pool))
+            sure = np.flatnonzero(np.abs(z) >= np.log(SURE / (1 - SURE)))
+            sure = sure[np.argsort(-np.abs(z[sure]), kind="stable")][: ADDED_MOST * (turn + 1)]
+            found.append((_take(views[1 - i], pool[sure]), (z[sure] > 0).astype(int)))
+        try:
+            state = learner.send(found)
+        except StopIteration as end:
+            return end.value
+
+
+def _certain(model: Linear, cal: np.ndarray, view) -> np.ndarray:
+    return cal[0] * np.clip(model.logits(*view), -30, 30) + cal[1]
+
+
+def _sample(docs: DataFrame, labels: DataFrame, targets: list[str], metadata: list[str], text: str, key: str) -> tuple[pd.DataFrame | None, DataFrame]:
+    """Features of a bounded sample of labelled documents, chosen by a hash of their keys; and the other documents."""
     spark = docs.sparkSession
     order = F.xxhash64(F.col("key").cast("string"), F.lit(3))
     known = labels.select(F.col(f"`{key}`").alias("key"), *[F.col(f"`{t}`").cast("int").alias(f"y{i}") for i, t in enumerate(targets)]).where(F.col("key").isNotNull() & F.col("y0").isNotNull()).orderBy(order, *[f"y{i}" for i in range(len(targets))]).limit(LABELLED_MOST)
     known = spark.createDataFrame(known.collect(), known.schema).dropDuplicates(["key"])
-    count = docs.count()
-    draw = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit(5)), F.lit(1 << 40)) / float(1 << 40)
     source = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"), *[F.col(f"`{m}`").cast("string").alias(f"m{i}") for i, m in enumerate(metadata)])
-    rows = source.join(F.broadcast(known), "key", "left").where(F.col("y0").isNotNull() | (draw < POOL_MOST / max(1, count)))
+    rows = source.join(F.broadcast(known), "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
@@ -198,26 +230,87 @@ def _sample(docs: DataFrame, labels: DataFrame, targets: list[str], metadata: li
     ms = [f"m{i}" for i in range(len(metadata))]
     columns = ["key", "text", *ms, *ys]
     schema = f"key {source.schema['key'].dataType.simpleString()}, {''.join(f'{m} string, ' for m in ms)}{''.join(f'{y} int, ' for y in ys)}words array<int>, stats array<double>, size_ bigint"
-    found = rows.select(*columns).mapInArrow(run, schema).withColumn("apart", F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit(11)), F.lit(5)) == 0).withColumn("o", F.xxhash64("key", "size_", "words")).orderBy("o").limit(2 * (LABELLED_MOST + POOL_MOST)).collect()
+    found = rows.select(*columns).mapInArrow(run, schema).withColumn("apart", F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit(11)), F.lit(5)) == 0).withColumn("o", F.xxhash64("key", "size_", "words")).orderBy("o").limit(2 * LABELLED_MOST).collect()
     frame = pd.DataFrame([r.asDict() for r in found])
-    return frame if len(frame) and frame["y0"].notna().any() else None
+    return frame if len(frame) and frame["y0"].notna().any() else None, source.join(F.broadcast(known.select("key")), "key", "left_anti").drop("key")
+
+
+def _features(frame: pd.DataFrame, metadata: list[str]):
+    """Both views of rows of words, stats, metadata and size."""
+    lists = [np.asarray(x, np.int64) for x in frame["words"]]
+    words = (np.append(0, np.cumsum([len(x) for x in lists])).astype(np.int64), np.concatenate([*lists, np.zeros(0, np.int64)]), np.array(frame["stats"].to_list(), float).reshape(len(frame), STATS))
+    return words, (*metadata_view(frame, metadata), np.zeros((len(frame), 0)))
+
+
+def _surest(others: DataFrame, states: dict[str, tuple], ms: list[str], most: int) -> dict[str, list]:
+    """For each target and view, of all other documents the most that the view is surest of, half of each class: the other view's features and the labels."""
+    groups = [(t, v, c) for t in states for v in (0, 1) for c in (0, 1)]
+    shared = others.sparkSession.sparkContext.broadcast({t: (models, cal) for t, (_, models, cal) in states.items()})
+    least, half = np.log(SURE / (1 - SURE)), most // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[dict] = [{} for _ in groups]
+
+        def trim(g: int, size: int):
+            if len(best[g]) > size:
+                best[g] = dict(sorted(best[g].items(), key=lambda x: (-x[1][0], x[0]))[:half])
+
+        for part in text_slices(batches, "text"):
+            col = part.column(part.schema.get_field_index("text"))
+            words = text_view(col)
+            frame = pd.DataFrame({m: part.column(part.schema.get_field_index(m)).to_pylist() for m in ms}, index=range(part.num_rows))
+            frame["size_"] = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
+            views = words, (*metadata_view(frame, ms), np.zeros((part.num_rows, 0)))
+            order = part.column(part.schema.get_field_index("o")).to_pylist()
+            scores = {(t, v): _certain(shared.value[t][0][v], shared.value[t][1][v], views[v]) for t in states for v in (0, 1)}
+            for g, (t, v, c) in enumerate(groups):
+                z = scores[t, v] if c else -scores[t, v]
+                for i in np.flatnonzero(z >= least).tolist():
+                    best[g][order[i]] = (float(z[i]), words[1][words[0][i] : words[0][i + 1]].tolist(), words[2][i].tolist(), int(frame["size_"].iat[i]), *(frame[m].iat[i] for m in ms))
+                trim(g, 2 * half)
+        for g in range(len(groups)):
+            trim(g, half)
+            rows = [(g, o, *x) for o, x in best[g].items()]
+            if rows:
+                kinds = [pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.int64(), *[pa.string()] * len(ms)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["g", "o", "z", "words", "stats", "size_", *ms])
+
+    schema = "g int, o bigint, z double, words array<int>, stats array<double>, size_ bigint" + "".join(f", {m} string" for m in ms)
+    near = written(others.withColumn("o", F.xxhash64("text", *ms)).mapInArrow(run, schema), "sure")
+    out: dict[str, list] = {t: [[], []] for t in states}
+    for g, (t, v, c) in enumerate(groups):
+        rows = near.where(F.col("g") == g).orderBy(F.desc("z"), "o").limit(2 * half).collect()
+        out[t][v] += [(r.asDict(), c) for r in {r["o"]: r for r in rows[::-1]}.values()][-half:]
+    for t in states:
+        for v in (0, 1):
+            found = out[t][v]
+            out[t][v] = (_features(pd.DataFrame([r for r, _ in found]), ms)[1 - v], np.array([c for _, c in found])) if found else None
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, targets: list[str], metadata: list[str], text: str = "text", key: str = "doc_id") -> dict[str, CoTrained]:
     """A model for each 0/1 column of labels that has both values in the sample."""
     bounded_batches(docs.sparkSession)
-    frame = _sample(docs, labels, targets, metadata, text, key)
-    models = {}
+    frame, others = _sample(docs, labels, targets, metadata, text, key)
+    models: dict[str, CoTrained] = {}
     if frame is None:
         return models
-    sizes = frame["words"].map(len).to_numpy()
-    words = (np.append(0, np.cumsum(sizes)), np.concatenate([np.asarray(x, np.int64) for x in frame["words"]] or [np.zeros(0, np.int64)]), np.stack(frame["stats"].map(np.asarray).to_list()))
-    meta = (*metadata_view(frame, [f"m{i}" for i in range(len(metadata))]), np.zeros((len(frame), 0)))
+    ms = [f"m{i}" for i in range(len(metadata))]
+    words, meta = _features(frame, ms)
+    learners = {}
     for i, target in enumerate(targets):
         y = frame[f"y{i}"].fillna(-1).to_numpy().astype(int)
         train = y[(y >= 0) & ~frame["apart"].to_numpy(bool)]
         if {0, 1} <= set(train.tolist()):
-            models[target] = cotrain(words, meta, y, frame["apart"].to_numpy(bool))
+            learners[target] = rounds(words, meta, y, frame["apart"].to_numpy(bool))
+    states = {t: next(x) for t, x in learners.items()}
+    for turn in range(ROUNDS if states else 0):
+        found = _surest(others, states, ms, ADDED_MOST * (turn + 1))
+        for t, x in learners.items():
+            try:
+                states[t] = x.send(found[t])
+            except StopIteration as end:
+                models[t] = end.value
     return models
 
 
@@ -250,15 +343,15 @@ def score_documents(docs: DataFrame, models: dict[str, CoTrained], targets: list
 
 
 def judged(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", metadata: tuple[str, ...] = METADATA) -> DataFrame:
-    """Per document: key, quality_score, toxic_score, keep (quality at least and toxicity below one half).
+    """Per document: key, quality_score, toxic_score, keep (quality at least one half and toxicity below the model's cut).
 
-    All documents are scored, whole; the models are fitted on LABELLED_MOST labelled and POOL_MOST other documents at
-    most, about. Null texts and metadata count as empty values; without usable labels a score is null and doesn't speak against keeping.
+    All documents are scored, whole; the models are fitted on LABELLED_MOST labelled documents at most, and in each round
+    on those of all others that they are surest of, ADDED_MOST times the round a view. Null texts and metadata count as empty values; without usable labels a score is null and doesn't speak against keeping.
     Repeated rows give repeated results, an empty table an empty one; other columns don't matter.
     """
     targets = ["quality", "toxic"]
     present = [m for m in metadata if m in docs.columns]
     models = fit(docs, labels, targets, present, text, key)
     scored = score_documents(docs.select(key, text, *present), models, targets, present, text)
-    keep = (F.coalesce(F.col("quality_score"), F.lit(1.0)) >= 0.5) & (F.coalesce(F.col("toxic_score"), F.lit(0.0)) < 0.5)
+    keep = (F.coalesce(F.col("quality_score"), F.lit(1.0)) >= 0.5) & (F.coalesce(F.col("toxic_score"), F.lit(0.0)) < (models["toxic"].cut if "toxic" in models else 0.5))
     return scored.select(key, "quality_score", "toxic_score", keep.alias("keep"))
