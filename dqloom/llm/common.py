@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,9 +22,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a local one only where that is unset."""
+    """The shared folder of spark.checkpoint.dir; a local one only where that is unset and Spark runs in one process."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="dqloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/dqloom-{spark.sparkContext.applicationId}"
@@ -40,6 +44,30 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing will read again, as all that was made from them is written itself.
+
+    The driver's garbage goes too, so Spark drops the shuffle files of the jobs that are done.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if path.split("/")[-2].startswith("dqloom-"):
+                at = spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
+
+
+def tidy() -> None:
+    """Gives freed memory of a Python worker back at a task's end, as workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
 def bounded_batches(spark: SparkSession, megabytes: int = 4) -> None:
     """Arrow batches end at so many bytes, where Spark knows the setting, so long texts don't pile up in a worker."""
     spark.conf.set(BATCH_BYTES, str(megabytes << 20))

@@ -1,103 +1,78 @@
-"""Substring deduplication by MinHash banding of short paragraphs.
+"""Substring deduplication by MinHash banding of paragraphs, and of word runs that need no paragraph.
 
-A paragraph is what stands between line ends and sentence ends (a word that ends in . ! or ?), so a
-passage put into other prose still has its own paragraphs. Equal paragraphs are one class; the classes' MinHash bands,
-tuned to find 99.8 % of pairs at the threshold, join those that collide; exact Jaccard of their
-word shingles verifies each pair; components of classes are the clusters. The first place of a cluster stays. Elsewhere, a
-stretch of clustered paragraphs is removed where it has enough words to be a passage.
+A paragraph ends with its line, after some sentence ends and after some pairs of words, both chosen by their hashes, so a
+passage put into other prose is cut at the same words. MinHash bands of three rows join paragraphs that collide; exact Jaccard of
+their word shingles verifies each pair; components are the clusters. Boundaries can still cut a passage's edges off, so runs of
+RUN words are compared wherever they stand: of the runs in each window of WINDOW, the one of the smallest hash is
+looked up. Equal texts of RUN + WINDOW - 1 = 49 words share one with certainty, and where what runs cover is
+too short to tell, all windows of PASSAGE words around them are looked up.
 
-A paragraph of few words is compared together with what follows it, and only by equality. Runs of words are compared wherever
-they stand, so a passage needs no boundary of paragraphs: of the RUN-word runs in each window of WINDOW, the one of the
-smallest hash is looked up. Equal texts of RUN + WINDOW - 1 = 50 words share one with certainty.
+A stretch of PASSAGE words or more, each in a clustered paragraph, a shared run or a shared window, is a
+repeated passage. The first place of everything stays, the other places are removed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, NON_SPACE, Words, _powers, bounded_batches, fresh, mix64, text_slices, written
+from .common import BROADCAST_ROWS, NON_SPACE, Words, _powers, bounded_batches, discard, fresh, mix64, text_slices, tidy, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
-BANDS = 4  # of one MinHash each: a pair at 0.8 collides in some band with 1 - 0.2 ** 4
-WORDS_LEAST = 5  # words of a paragraph that is compared by itself
-PASSAGE = 25  # clustered words in a stretch that make it a repeated passage (its cut-off edges don't count)
-GAP = 1  # paragraphs between that may differ; short ones count as one for each WORDS_LEAST words
-RUN, WINDOW = PASSAGE, 26  # words of a run that is compared wherever it stands, and runs of which one is chosen
-SHORT_SALT, RUN_SALT = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
-SALTS = [0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(BANDS)]
+BANDS, ROWS = 10, 3  # a pair at 0.8 collides in some band with 1 - (1 - 0.8 ** 3) ** 10 = 0.9992, one at 0.3 with 0.24
+WORDS_LEAST = 20  # words of a paragraph that is compared; shorter ones are left to runs
+PASSAGE = 50  # words of a repeated passage, at least
+RUN, WINDOW = 25, 25  # words of a run that is compared wherever it stands, and runs of which one is chosen
+HUBS = 2  # rounds in which paragraphs of a band meet one of them, before pairs of what is still apart
+RUN_SALT, WINDOW_SALT = np.uint64(0x9FB21C651E98DF25), np.uint64(0xA24BAED4963EE407)
+SALTS = [0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(BANDS * ROWS)]
+MINIMA, BITS = [f"m{i}" for i in range(BANDS)], [f"s{i}" for i in range(4)]
 
 
 class Paragraphs:
-    """Paragraphs of a slice of texts: first word, end, row and digest of each; the short ones and the runs apart."""
+    """Paragraphs of WORDS_LEAST words or more of a slice of texts (first word, end, row, digest), and its runs."""
 
     def __init__(self, col: pa.Array):
         self.words = w = Words(col, NON_SPACE)
         n = len(w.hash)
         self.sizes = np.diff(w.offsets)
+        up, self._down = _powers(n + 1)
+        with np.errstate(over="ignore"):
+            self._total = np.append(np.zeros(1, np.uint64), np.cumsum(w.hash * up[:n], dtype=np.uint64))
+        start = end = np.zeros(0, np.int64)
         if n:
             lines = np.cumsum(w.data == 10)[w.start]
             last = w.data[w.end - 1]
             stops = (last == ord(".")) | (last == ord("!")) | (last == ord("?"))
             begins = np.ones(n, bool)
-            begins[1:] = stops[:-1] | (lines[1:] != lines[:-1]) | (w.row[1:] != w.row[:-1])
+            begins[1:] = (stops & (w.hash & np.uint64(3) == 0))[:-1] | (lines[1:] != lines[:-1]) | (w.row[1:] != w.row[:-1])
+            begins[2:] |= (w.grams(2)[0] & np.uint64(63) == 0)[:-2]
             start = np.flatnonzero(begins)
             end = np.append(start[1:], n)
-        else:
-            start = end = np.zeros(0, np.int64)
-        self.all = start, end
-        self.long = end - start >= WORDS_LEAST
-        self.start, self.end = start[self.long], end[self.long]
+        long = end - start >= WORDS_LEAST
+        self.start, self.end = start[long], end[long]
         self.row = w.row[self.start]
-        up, self._down = _powers(n + 1)
-        with np.errstate(over="ignore"):
-            self._total = np.append(np.zeros(1, np.uint64), np.cumsum(w.hash * up[:n], dtype=np.uint64))
-        self.digest = self._digests(self.start, self.end).view(np.int64)
+        self.digest = self.digests(self.start, self.end).view(np.int64)
 
-    def _digests(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def digests(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of the words from each start to its end."""
         with np.errstate(over="ignore"):
             return mix64((self._total[end] - self._total[start]) * self._down[start] + (end - start).astype(np.uint64))
 
-    def places(self) -> tuple[np.ndarray, np.ndarray]:
-        """How many paragraphs of its row stand before each one of all, and up to its end. Short ones in a row count as one for each WORDS_LEAST words."""
-        start, end = self.all
-        row = self.words.row[start]
-        opens = self.long.copy()  # where a run of short ones starts or a long one stands
-        opens[1:] |= self.long[:-1] | (row[1:] != row[:-1])
-        opens[:1] = True
-        before = start - start[np.maximum.accumulate(np.where(opens, np.arange(len(start)), 0))]
-        step = np.where(self.long, 1, (before + end - start) // WORDS_LEAST - before // WORDS_LEAST)
-        until = np.cumsum(step)
-        place = until - step
-        base = place[np.searchsorted(row, row)]
-        return place - base, until - base
-
-    def short(self) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers among all of the short paragraphs of rows of WORDS_LEAST words or more, and their digests with what follows up to that many (at a row's end, what precedes)."""
-        start, end = self.all
-        w = self.words
-        pick = np.flatnonzero(~self.long)
-        pick = pick[self.sizes[w.row[start[pick]]] >= WORDS_LEAST]
-        first, last = w.offsets[w.row[start[pick]]], w.offsets[w.row[start[pick]] + 1]
-        upto = np.searchsorted(end, np.minimum(start[pick] + WORDS_LEAST, last))
-        upto = end[upto] if len(pick) else pick
-        lacks = upto - start[pick] < WORDS_LEAST
-        since = start[np.searchsorted(start, np.maximum(first, upto - WORDS_LEAST), "right") - 1] if len(pick) else pick
-        return pick, (self._digests(np.where(lacks, since, start[pick]), upto) ^ SHORT_SALT).view(np.int64)
-
     def runs(self) -> tuple[np.ndarray, np.ndarray]:
         """First words and digests of the chosen runs."""
         row, m = self.words.row, len(self.words.hash) - RUN + 1
         if m < WINDOW:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = np.arange(m)
-        value = self._digests(at, at + RUN) ^ RUN_SALT
+        value = self.digests(at, at + RUN) ^ RUN_SALT
         best, width = at, 1
         while width < WINDOW:
             shift = min(width, WINDOW - width)
@@ -106,258 +81,309 @@ class Paragraphs:
         chosen = np.unique(best[row[: len(best)] == row[RUN + WINDOW - 2 :]])
         return chosen, value[chosen].view(np.int64)
 
-    def shingles(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of the k-word shingles of all words, and each paragraph's first and end among them."""
-        return self.words.grams(SHINGLE)[0], self.start, self.end - SHINGLE + 1
+    def shingles(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the k-word shingles of all words, and the bounds of each paragraph among them, one after the other."""
+        return self.words.grams(SHINGLE)[0], np.stack([self.start, self.end - SHINGLE + 1], axis=1).ravel()
 
-    def minima(self, pick: np.ndarray) -> list[np.ndarray]:
-        """The MinHash of each band for the paragraphs of pick, in order."""
-        hashes, start, end = self.shingles()
-        bounds = np.stack([start[pick], end[pick]], axis=1).ravel()
-        if not len(bounds):
-            return [np.zeros(0, np.int64) for _ in SALTS]
+    def bands(self) -> list[np.ndarray]:
+        """The MinHash bands of the paragraphs."""
+        hashes, bounds = self.shingles()
         out = []
-        for salt in SALTS:
-            mixed = np.append(mix64(hashes ^ np.uint64(salt)), np.uint64(0))
-            out.append(np.minimum.reduceat(mixed, bounds)[::2].view(np.int64))
+        for band in range(BANDS):
+            key = np.full(len(self.start), band, np.uint64)
+            for salt in SALTS[band * ROWS : (band + 1) * ROWS]:
+                with np.errstate(over="ignore"):
+                    mixed = (hashes ^ np.uint64(salt)) * np.uint64(salt | 1)
+                    mixed ^= mixed >> np.uint64(32)
+                    least = np.minimum.reduceat(np.append(mixed, np.uint64(0)), bounds)[::2] if len(bounds) else key
+                    key = key * np.uint64(0xD6E8FEB86659FD93) + least
+            out.append(mix64(key).view(np.int64))
         return out
 
-
-    def bits(self, pick: np.ndarray) -> np.ndarray:
-        """A 64-bit signature of the shingles of each paragraph of pick, in order."""
-        hashes, start, end = self.shingles()
-        bounds = np.stack([start[pick], end[pick]], axis=1).ravel()
-        one = np.append(np.uint64(1) << (hashes & np.uint64(63)), np.uint64(0))
-        return (np.bitwise_or.reduceat(one, bounds)[::2] if len(bounds) else np.zeros(0, np.uint64)).view(np.int64)
-
-    def distinct(self, pick: np.ndarray) -> np.ndarray:
-        """The number of distinct shingles of the paragraphs of pick."""
-        hashes, start, end = self.shingles()
-        size = (end - start)[pick]
+    def bits(self) -> list[np.ndarray]:
+        """256-bit signatures of the shingles of the paragraphs, in four words."""
+        hashes, bounds = self.shingles()
+        place, one = hashes >> np.uint64(62), np.uint64(1) << (hashes & np.uint64(63))
+        parts = [np.append(np.where(place == np.uint64(i), one, np.uint64(0)), np.uint64(0)) for i in range(4)]
+        return [(np.bitwise_or.reduceat(p, bounds)[::2] if len(bounds) else np.zeros(0, np.uint64)).view(np.int64) for p in parts]
+
+    def distinct(self) -> np.ndarray:
+        """The number of distinct shingles of the paragraphs."""
+        hashes, bounds = self.shingles()
+        start, size = bounds[::2], bounds[1::2] - bounds[::2]
         ends = np.cumsum(size)
-        unit = np.repeat(np.arange(len(pick)), size)
-        value = hashes[np.repeat(start[pick] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        unit = np.repeat(np.arange(len(size)), size)
+        value = hashes[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
         order = np.lexsort((value, unit))
         unit, value = unit[order], value[order]
         new = np.ones(len(unit), bool)
         new[1:] = (unit[1:] != unit[:-1]) | (value[1:] != value[:-1])
-        return np.bincount(unit[new], minlength=len(pick)).astype(np.int64)
+        return np.bincount(unit[new], minlength=len(size)).astype(np.int64)
 
 
-def paragraph_rows(source: DataFrame) -> DataFrame:
-    """A row for each paragraph and each chosen run (until is -1), and one of place -1 for each document with its number of words."""
+def _lists(row: np.ndarray, rows: int, fields: dict[str, np.ndarray]) -> pa.ListArray:
+    """A list of structs for each row; row tells each struct's row, in order."""
+    offsets = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(v) for v in fields.values()], names=list(fields)))
+
+
+def unit_rows(source: DataFrame) -> DataFrame:
+    """Per row: key, address, row, n_words, its runs and its paragraphs."""
     kind = source.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
             names = part.schema.names
             p = Paragraphs(part.column(names.index("text")))
-            w, (place, until), (start, end) = p.words, p.places(), p.all
-            short, short_digest = p.short()
-            runs, run_digest = p.runs()
-            unit = np.concatenate([np.flatnonzero(p.long), short])
-            first = np.concatenate([start[unit], runs])
-            row = w.row[first]
-            at = pa.array(np.concatenate([np.arange(part.num_rows), row]))
-            none = np.zeros(part.num_rows, np.int64)
-            columns = (none - 1, place[unit], 0 * runs), (none, until[unit], 0 * runs - 1), (none, first - w.offsets[row]), (p.sizes, (end - start)[unit], 0 * runs + RUN), (none, p.digest, short_digest, run_digest)
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(names.index(c)).take(at) for c in ("key", "address", "row")), *(pa.array(np.concatenate(x).astype(np.int64)) for x in columns)],
-                names=["key", "address", "row", "place", "until", "start", "words", "digest"],
-            )
-
-    return source.mapInArrow(run, f"key {kind}, address bigint, row bigint, place bigint, until bigint, start bigint, words bigint, digest bigint")
-
-
-def band_rows(source: DataFrame) -> DataFrame:
-    """band, digest, size (distinct shingles) and signature of the paragraphs that another one could resemble without being equal; once in a slice."""
+            at, digest = p.runs()
+            first = p.words.offsets
+            runs = _lists(p.words.row[at], part.num_rows, {"start": at - first[p.words.row[at]], "digest": digest})
+            paras = _lists(p.row, part.num_rows, {"start": p.start - first[p.row], "words": p.end - p.start, "digest": p.digest, "size": p.distinct(), **dict(zip(MINIMA, p.bands(), strict=True)), **dict(zip(BITS, p.bits(), strict=True))})
+            yield pa.RecordBatch.from_arrays([*(part.column(names.index(c)) for c in ("key", "address", "row")), pa.array(p.sizes.astype(np.int64)), runs, paras], names=["key", "address", "row", "n_words", "runs", "paras"])
+        tidy()
+
+    numbers = ", ".join(f"{c}: bigint" for c in ("start", "words", "digest", "size", *MINIMA, *BITS))
+    return source.mapInArrow(run, f"key {kind}, address bigint, row bigint, n_words bigint, runs array<struct<start: bigint, digest: bigint>>, paras array<struct<{numbers}>>")
+
+
+def _texts(source: DataFrame, targets: DataFrame, values: str) -> DataFrame:
+    """row, values and text of the documents of targets: key_, address_, row and values, which targets has once for each key and address."""
+    targets = targets.persist()
+    small = targets.count() <= BROADCAST_ROWS
+    found = source.join(F.broadcast(targets) if small else targets, F.col("key").eqNullSafe(F.col("key_")) & (F.col("address") == F.col("address_")))
+    return found.select(targets["row"], values, "text")
+
+
+def shingle_arrays(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """digest and sorted shingles of the paragraphs of wanted: key_, address_, row and starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
-            p = Paragraphs(part.column(0))
-            size = p.end - p.start
-            pick = np.flatnonzero(size - SHINGLE + 1 >= 4)  # of 4 shingles and 5, four are shared at best
-            pick = pick[np.sort(np.unique(p.digest[pick], return_index=True)[1])]
-            minima, n = p.minima(pick), p.distinct(pick)
-            with np.errstate(over="ignore"):
-                bands = [mix64(m.view(np.uint64) + np.uint64(i)).view(np.int64) for i, m in enumerate(minima)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bands)), pa.array(np.tile(p.digest[pick], BANDS)), pa.array(np.tile(n, BANDS)), pa.array(np.tile(p.bits(pick), BANDS))], names=["band", "digest", "size", "bits"])
+            p = Paragraphs(part.column(2))
+            starts = part.column(1)
+            places = starts.flatten().to_numpy() + p.words.offsets[np.repeat(np.arange(part.num_rows), pa.compute.list_value_length(starts).to_numpy())]
+            pick = np.searchsorted(p.start, places)
+            hashes, bounds = p.shingles()
+            sets = [np.unique(hashes[bounds[2 * i] : bounds[2 * i + 1]]).view(np.int64) for i in pick.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(p.digest[pick]), pa.array(sets, pa.list_(pa.int64()))], names=["digest", "shingles"])
+        tidy()
+
+    return _texts(source, wanted, "starts").mapInArrow(run, "digest bigint, shingles array<bigint>").groupBy("digest").agg(F.first("shingles").alias("shingles"))
 
-    return source.select("text").mapInArrow(run, "band bigint, digest bigint, size bigint, bits bigint")
 
+def _fits(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and signatures allow the threshold: each bit that differs is a shingle that one of the two lacks."""
+    x, y = F.col(f"{a}.size"), F.col(f"{b}.size")
+    need = F.ceil(percent * (x + y) / F.lit(100.0 + percent) - 1e-9)
+    differ = reduce(lambda p, q: p + q, [F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in BITS])
+    return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & (differ <= x + y - 2 * need)
 
-def verified(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
+
+def verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of digests whose paragraphs' shingle sets reach the threshold."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct().persist()
-    spark = source.sparkSession
-    small = wanted.count() <= BROADCAST_ROWS
-    listed = np.sort(np.array([r[0] for r in wanted.collect()], np.int64)) if small else None
-    shared = spark.sparkContext.broadcast(listed)
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for part in text_slices(batches, "text"):
-            p = Paragraphs(part.column(0))
-            pick = np.unique(p.digest, return_index=True)[1]
-            if known is not None:
-                at = np.minimum(np.searchsorted(known, p.digest[pick]), max(0, len(known) - 1))
-                pick = pick[known[at] == p.digest[pick]] if len(known) else pick[:0]
-            hashes, start, end = p.shingles()
-            yield pa.RecordBatch.from_arrays([pa.array(p.digest[pick]), pa.array([np.unique(hashes[start[i] : max(end[i], start[i] + 1)]).view(np.int64) for i in pick.tolist()], pa.list_(pa.int64()))], names=["digest", "shingles"])
-
-    found = source.select("text").mapInArrow(sets, "digest bigint, shingles array<bigint>")
-    arrays = written((found if small else found.join(wanted, "digest")).groupBy("digest").agg(F.first("shingles").alias("shingles")), "sets")
-    wanted.unpersist()
     both = pairs.join(arrays.select(F.col("digest").alias("a"), F.col("shingles").alias("sa")), "a").join(arrays.select(F.col("digest").alias("b"), F.col("shingles").alias("sb")), "b")
     overlap = F.size(F.array_intersect("sa", "sb"))
     return written(both.where(100 * overlap >= percent * (F.size("sa") + F.size("sb") - overlap)).select("a", "b"), "verified")
 
 
-def clusters(source: DataFrame, units: DataFrame, percent: int) -> DataFrame:
+def clusters(source: DataFrame, documents: DataFrame, paras: DataFrame, percent: int) -> DataFrame:
     """digest and component of the paragraphs whose cluster occurs in two documents or more."""
-    bands = written(band_rows(source), "bands")
-    # The hub of a band is the paragraph with the smallest digest. Sizes and signatures must allow the threshold: each bit
-    # that differs is a shingle that one of the two lacks.
-    def fits(a: str, b: str):
-        x, y = F.col(f"{a}.size"), F.col(f"{b}.size")
-        need = F.ceil(percent * (x + y) / F.lit(100.0 + percent) - 1e-9)
-        return (100 * F.least(x, y) >= percent * F.greatest(x, y)) & (F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) <= x + y - 2 * need)
-
-    me = F.struct("digest", "size", "bits")
+    kinds = paras.groupBy("digest").agg(
+        F.count("*").alias("n"), F.min("row").alias("low"), F.max("row").alias("high"), F.min(F.struct("row", "start")).alias("place"), *(F.first(c).alias(c) for c in ("size", *MINIMA, *BITS)),
+    )
+    kinds = written(kinds, "kinds")
+    bands = kinds.select(F.explode(F.array(*MINIMA)).alias("band"), "digest")
     met = bands.groupBy("band").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high").select("band")
-    cells = written(bands.join(met, "band").distinct().select("band", me.alias("me")), "cells")
-    hubs = cells.groupBy("band").agg(F.min("me").alias("hub"))
-    likely = cells.join(hubs, "band").where((F.col("hub.digest") != F.col("me.digest")) & fits("hub", "me")).select(F.col("hub.digest").alias("a"), F.col("me.digest").alias("b")).distinct()
-    likely = written(likely, "likely")
-    links = verified(likely, source, percent)
-    joined = components(links)
-    labelled = cells.select("band", "me.*").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low < high and n > 2").select("band")
-    open_ = written(labelled.join(mixed, "band"), "open")
-    l, r = open_.alias("l"), open_.alias("r")
-    pairs = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.digest") < F.col("r.digest")) & (F.col("l.component") != F.col("r.component")) & fits("l", "r")).select(F.col("l.digest").alias("a"), F.col("r.digest").alias("b")).distinct()
-    rest = written(pairs.join(likely, ["a", "b"], "left_anti"), "pairs")
-    whole = components(links.unionByName(verified(rest, source, percent)))
-    # Paragraphs of a component, and equal ones in two documents; what a cluster's first place is, only their rows tell.
-    classes = units.where("place >= 0").groupBy("digest").agg(F.min("row").alias("low"), F.max("row").alias("high"))
-    named = classes.join(whole.withColumnRenamed("node", "digest"), "digest", "left").where("component is not null or low < high").withColumn("component", F.coalesce("component", "digest"))
+    pairs_of = written(bands.join(met, "band"), "met")
+    marks = kinds.select("digest", "n", "size", *BITS)
+    cells = written(pairs_of.join(marks, "digest").select("band", F.struct("n", "digest", "size", *BITS).alias("me")), "cells")
+
+    # The sets of paragraphs that meet another, made once from the texts they first stand in.
+    places = kinds.join(cells.select("me.digest").distinct(), "digest", "left_semi").select("place.row", "place.start").groupBy("row").agg(F.collect_list("start").alias("starts"))
+    places = places.join(documents.select(F.col("key").alias("key_"), F.col("address").alias("address_"), "row"), "row")
+    arrays = written(shingle_arrays(source, places.select("key_", "address_", "row", "starts")), "sets")
+
+    # Every paragraph of a band meets its hub, the most frequent one that no earlier hub has joined; then pairs of what is still apart.
+    links, whole, before = None, None, None
+    state = cells.withColumn("component", F.col("me.digest")).withColumn("led", F.lit(False))
+    for turn in range(HUBS):
+        hubs = state.where("not led").groupBy("band").agg(F.max(F.struct("me", "component")).alias("top")).select("band", F.col("top.me").alias("hub"), F.col("top.component").alias("hub_component"))
+        pairs = state.join(hubs, "band").where((F.col("component") != F.col("hub_component")) & _fits("hub", "me", percent)).select(F.least("hub.digest", "me.digest").alias("a"), F.greatest("hub.digest", "me.digest").alias("b")).distinct()
+        pairs = written(pairs if before is None else pairs.join(before, ["a", "b"], "left_anti"), "pairs")
+        before = pairs if before is None else before.unionByName(pairs)
+        links = verified(pairs, arrays, percent) if links is None else links.unionByName(verified(pairs, arrays, percent))
+        whole = components(links)
+        named = state.drop("component").join(hubs.select("band", F.col("hub.digest").alias("hub_digest")), "band", "left").withColumn("digest", F.col("me.digest"))
+        label = whole.withColumnRenamed("node", "digest")
+        named = named.join(label, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+        named = named.join(label.select(F.col("digest").alias("hub_digest"), F.col("component").alias("hub_component")), "hub_digest", "left")
+        named = named.select("band", "me", "component", (F.col("led") | (F.col("component") == F.coalesce("hub_component", "hub_digest"))).alias("led"))
+        mixed = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+        state = written(named.join(mixed, "band"), f"open{turn}")
+    l, r = state.alias("l"), state.alias("r")
+    rest = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.me.digest") < F.col("r.me.digest")) & (F.col("l.component") != F.col("r.component")) & _fits("l.me", "r.me", percent))
+    rest = written(rest.select(F.col("l.me.digest").alias("a"), F.col("r.me.digest").alias("b")).distinct().join(before, ["a", "b"], "left_anti"), "rest")
+    whole = components(links.unionByName(verified(rest, arrays, percent)))
+    named = kinds.select("digest", "low", "high").join(whole.withColumnRenamed("node", "digest"), "digest", "left").where("component is not null or low < high").withColumn("component", F.coalesce("component", "digest"))
     named = written(named, "classes")
     across = named.groupBy("component").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("component")
-    return written(named.select("digest", "component").join(across, "component"), "clusters")
-
-
-def _passages(found: list, least: int, gap: int) -> dict:
-    """The stretches of clustered paragraphs and runs of one document that have enough words, and what of them isn't a first place."""
-    out = {"n_repeated": 0, "repeated_words": 0, "removed_words": 0}
-    removed: list = []
-    taken: list = []
-    stretch: list = []
-
-    def close():
-        if sum(x["words"] for x in stretch) >= least:
-            out["n_repeated"] += len(stretch)
-            out["repeated_words"] += sum(x["words"] for x in stretch)
-            taken.extend((x["start"], x["start"] + x["words"]) for x in stretch)
-            removed.extend((x["start"], x["start"] + x["words"]) for x in stretch if not x["stays"])
-        stretch.clear()
-
-    found = sorted(found, key=lambda x: x["start"])
-    for x in found:
-        if x["until"] < 0:
-            continue
-        if stretch and x["place"] - stretch[-1]["until"] > gap:
-            close()
-        stretch.append(x)
-    close()
-    # Runs count outside those stretches, where what is left of them joined has enough words by itself.
-    runs = [x for x in found if x["until"] < 0]
-    kept = _union([(x["start"], x["start"] + x["words"]) for x in runs if x["stays"]])
-    for piece in _without(_union([(x["start"], x["start"] + x["words"]) for x in runs]), taken):
-        if piece[1] - piece[0] >= least:
-            out["n_repeated"] += 1
-            out["repeated_words"] += piece[1] - piece[0]
-            removed.extend(_without([piece], kept))
-    spans = _union(removed)
-    out["removed_words"] = sum(b - a for a, b in spans)
-    out["spans"] = [{"start": a, "length": b - a} for a, b in spans]
+    out = written(named.select("digest", "component").join(across, "component"), "clusters")
+    for table in (kinds, pairs_of, cells, arrays, state, named):
+        discard(table)
     return out
 
 
-def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans of words joined where they meet, in order."""
-    out: list = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows (row, key, start, words, digest) whose digest two documents have, with the digest as component; each row's first place is marked."""
+    met = written(rows.groupBy("digest").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("digest"), "shared")
+    return rows.join(met, "digest").withColumnRenamed("digest", "component")
 
 
-def _without(spans: list[tuple[int, int]], others: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """What of spans no other one covers; both are in order."""
-    out, i = [], 0
-    for a, b in spans:
-        while i < len(others) and others[i][1] <= a:
-            i += 1
-        j = i
-        while j < len(others) and others[j][0] < b:
-            if others[j][0] > a:
-                out.append((a, others[j][0]))
-            a = max(a, others[j][1])
-            j += 1
-        if a < b:
-            out.append((a, b))
-    return out
+def _with_stays(marks: DataFrame) -> DataFrame:
+    """marks and whether each is the first place of its component: of the smallest key, nulls last."""
+    marks = written(marks, "marks")
+    first = marks.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "start")).alias("first"))
+    first = written(first.select("component", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")), "firsts")
+    return marks.join(first, "component").select("row", "key", "start", "words", "component", "kind", ((F.col("first_row") == F.col("row")) & (F.col("first_start") == F.col("start"))).alias("stays"))
+
+
+def _stretches(marks: DataFrame) -> DataFrame:
+    """marks with their stretch (marks of a row that touch or overlap), its first word and end."""
+    inside = Window.partitionBy("row").orderBy("start", "words")
+    reach = F.max(F.col("start") + F.col("words")).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = marks.withColumn("opens", (reach.isNull() | (F.col("start") > reach)).cast("int")).withColumn("stretch", F.sum("opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = Window.partitionBy("row", "stretch")
+    return numbered.withColumn("since", F.min("start").over(whole)).withColumn("until", F.max(F.col("start") + F.col("words")).over(whole)).drop("opens")
+
+
+def windows_around(source: DataFrame, documents: DataFrame, runs: DataFrame, passage: int) -> DataFrame:
+    """row, key, start, words, digest of all windows of passage words around the runs (row, start) given."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "text"):
+            p = Paragraphs(part.column(2))
+            starts, first = part.column(1), p.words.offsets
+            at = np.repeat(np.arange(part.num_rows), pa.compute.list_value_length(starts).to_numpy())
+            places = (starts.flatten().to_numpy() + first[at])[:, None] - np.arange(passage - RUN + 1)
+            row = np.broadcast_to(at[:, None], places.shape)
+            fits = (places >= first[row]) & (places + passage <= first[row + 1])
+            places, back = np.unique(places[fits], return_index=True)
+            row = row[fits][back]
+            digest = (p.digests(places, places + passage) ^ WINDOW_SALT).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(places - first[row]), pa.array(digest)], names=["row", "start", "digest"])
+        tidy()
+
+    targets = runs.groupBy("row").agg(F.collect_list("start").alias("starts")).join(documents.select(F.col("key").alias("key_"), F.col("address").alias("address_"), "row"), "row")
+    found = _texts(source, targets.select("key_", "address_", "row", "starts"), "starts").mapInArrow(run, "row bigint, start bigint, digest bigint").distinct()
+    return found.join(documents.select("row", "key"), "row").withColumn("words", F.lit(passage).cast("long")).select("row", "key", "start", "words", "digest")
+
+
+def judged_documents(source: DataFrame, percent: int, passage: int) -> DataFrame:
+    """Per key and address: key, address, times (rows that have both), n_words, n_repeated, repeated_words, removed_words and spans of its first row."""
+    if passage < RUN + WINDOW - 1:
+        raise ValueError(f"a passage has {RUN + WINDOW - 1} words at least")
+    units = written(unit_rows(source.withColumn("row", F.monotonically_increasing_id())), "units")
+    # Rows of one key and text are one document, which then repeats as a whole.
+    documents = units.groupBy("key", "address").agg(F.min("row").alias("row"), F.count("*").alias("times"), F.first("n_words").alias("n_words"))
+    documents = written(documents, "documents")
+    again = documents.where("times > 1").select(F.col("key").alias("k"), F.col("address").alias("m"), F.col("row").alias("r"))
+    units = units.join(again, F.col("key").eqNullSafe(F.col("k")) & (F.col("address") == F.col("m")) & (F.col("row") != F.col("r")), "left_anti")
+    runs = units.select("row", "key", F.explode("runs").alias("x")).select("row", "key", "x.start", F.lit(RUN).cast("long").alias("words"), "x.digest")
+    paras = units.select("row", "key", F.explode("paras").alias("x")).select("row", "key", "x.*")
+    grouped = clusters(source, documents, paras, percent)
+    named = paras.select("row", "key", "start", "words", "digest").join(grouped, "digest").select("row", "key", "start", "words", "component", F.lit("paragraph").alias("kind"))
+    whole = documents.where("times > 1 and n_words > 0").select("row", "key", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("words"), F.xxhash64("key", "address", "row").alias("component"), F.lit("whole").alias("kind"))
+    shared = _shared(runs).select("row", "key", "start", "words", "component", F.lit("run").alias("kind"))
+    marks = written(_with_stays(shared.unionByName(named).unionByName(whole)), "places")
+
+    # What runs cover of a passage may fall short of its edges: there all windows around the runs are compared, in every document that has such a run.
+    short = _stretches(marks.select("row", "start", "words", "component", "kind")).where((F.col("until") - F.col("since") < passage) & (F.col("kind") == "run")).select("component").distinct()
+    around = marks.where("kind = 'run'").join(written(short, "short"), "component").select("row", "start").distinct()
+    windows = _shared(written(windows_around(source, documents, around, passage), "windows"))
+    more = _with_stays(windows.select("row", "key", "start", "words", "component", F.lit("run").alias("kind")))
+    marks = marks.unionByName(more)
+
+    # Stretches of enough words; inside them, words of places that don't stay go, unless a run that stays has them. Paragraphs that don't stay go in full.
+    passages = _stretches(marks).where(F.col("until") - F.col("since") >= passage)
+    gone = F.when(F.col("stays"), F.lit(0)).otherwise(F.lit(1))
+    para = (F.col("kind") == "paragraph").cast("int")
+    rise = passages.select("row", "stretch", "since", "until", F.col("start").alias("at"), (gone * para).alias("p"), (gone * (1 - para)).alias("g"), (1 - gone).alias("s"))
+    fall = passages.select("row", "stretch", "since", "until", (F.col("start") + F.col("words")).alias("at"), (-gone * para).alias("p"), (-gone * (1 - para)).alias("g"), (gone - 1).alias("s"))
+    steps = rise.unionByName(fall).groupBy("row", "stretch", "since", "until", "at").agg(F.sum("p").alias("p"), F.sum("g").alias("g"), F.sum("s").alias("s"))
+    inside = Window.partitionBy("row").orderBy("at", "stretch")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    removed = (F.sum("p").over(so_far) > 0) | ((F.sum("g").over(so_far) > 0) & (F.sum("s").over(so_far) <= 0))
+    pieces = steps.withColumn("goes", removed).withColumn("next", F.lead("at").over(inside)).withColumn("breaks", (~F.coalesce(F.lag("goes").over(inside), F.lit(False))).cast("int")).withColumn("island", F.sum("breaks").over(so_far))
+    spans = pieces.where("goes").groupBy("row", "island").agg(F.min("at").alias("start"), (F.max("next") - F.min("at")).alias("length")).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("spans"), F.sum("length").alias("removed_words"))
+    totals = steps.groupBy("row", "stretch").agg(F.first(F.col("until") - F.col("since")).alias("words")).groupBy("row").agg(F.count("*").alias("n_repeated"), F.sum("words").alias("repeated_words"))
+    return documents.join(totals, "row", "left").join(spans, "row", "left")
+
+
+SPANS = "array<struct<start:bigint,length:bigint>>"
 
 
 def repeated_passages(docs: DataFrame, percent: int = PERCENT, passage: int = PASSAGE, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per row: key, n_words, n_repeated (paragraphs, and stretches found by runs alone), repeated_words, removed_words, has_repeat, spans, address.
+    """Per row: key, n_words, n_repeated (passages), repeated_words, removed_words, has_repeat, spans, address.
 
-    Words stand between ASCII blanks. has_repeat tells that the document shares a passage with another one,
-    the first of them included; spans (first word, words) are what is removed. Null and empty texts have no words and no repeats. Repeated
-    rows are documents that share all their paragraphs. Texts count in full; an empty table gives an empty result; other
-    columns don't matter. The first place of a cluster is the one with the smallest key; null keys come last. address is a hash of the text.
+    Words stand between ASCII blanks, A-Z in lower case. has_repeat tells that the document shares a passage of that many words with another one,
+    the first of them included; spans (first word, words) are what is removed. Null and empty texts have no words and no repeats. Rows repeated with one
+    key and text share all they have: the first is judged like any document, the others go whole if they have enough words. Texts
+    count in full; an empty table gives an empty result; other columns don't matter. The first place is the one with the smallest key;
+    null keys come last. Up to RUN - 1 words at each end of a long passage found by runs alone are neither counted nor removed. address is a hash of the text.
     """
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")).withColumn("address", F.xxhash64("text"))
-    units = written(paragraph_rows(source.withColumn("row", F.monotonically_increasing_id())), "paragraphs")
-    narrow = units.where("place >= 0").select("row", "place", "until", "start", "words", "digest")
-    found = narrow.join(clusters(source.select("text"), units, percent), "digest").join(units.where("place = -1").select("row", "key"), "row")
-    found = written(found, "found")
-    first = found.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "start")).alias("first"))
-    found = found.join(written(first.select("component", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")), "firsts"), "component")
-    stays = (F.col("first_row") == F.col("row")) & (F.col("first_start") == F.col("start"))
-    grouped = found.groupBy("row").agg(F.collect_list(F.struct("place", "until", "start", "words", stays.alias("stays"))).alias("found"))
-    judge = F.udf(lambda x: _passages(x, passage, GAP), "n_repeated bigint, repeated_words bigint, removed_words bigint, spans array<struct<start:bigint,length:bigint>>")
-    judged = grouped.select("row", judge("found").alias("r")).select("row", "r.*")
-    zero = F.lit(0).cast("long")
-    return units.where("place = -1").join(judged, "row", "left").select(
-        F.col("key").alias(key), F.col("words").alias("n_words"), F.coalesce("n_repeated", zero).alias("n_repeated"), F.coalesce("repeated_words", zero).alias("repeated_words"),
-        F.coalesce("removed_words", zero).alias("removed_words"), (F.coalesce("repeated_words", zero) > 0).alias("has_repeat"), F.coalesce("spans", F.expr("cast(array() as array<struct<start:bigint,length:bigint>>)")).alias("spans"), "address",
+    zero, none = F.lit(0).cast("long"), F.expr(f"cast(array() as {SPANS})")
+    judged = judged_documents(source, percent, passage).select(
+        "key", "n_words", F.coalesce("n_repeated", zero).alias("n_repeated"), F.coalesce("repeated_words", zero).alias("repeated_words"), F.coalesce("removed_words", zero).alias("removed_words"),
+        F.coalesce("spans", none).alias("spans"), "address", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("turn"),
+    )
+    copy, whole = F.col("turn") > 1, F.col("n_words") >= passage
+    return judged.select(
+        F.col("key").alias(key), "n_words", F.when(copy, whole.cast("long")).otherwise(F.col("n_repeated")).alias("n_repeated"),
+        *(F.when(copy, F.when(whole, F.col("n_words")).otherwise(zero)).otherwise(F.col(c)).alias(c) for c in ("repeated_words", "removed_words")),
+        F.when(copy, whole).otherwise(F.col("n_repeated") > 0).alias("has_repeat"),
+        F.when(copy, F.when(whole, F.array(F.struct(zero.alias("start"), F.col("n_words").alias("length")))).otherwise(none)).otherwise(F.col("spans")).alias("spans"), "address",
     )
 
 
 def without_passages(docs: DataFrame, percent: int = PERCENT, passage: int = PASSAGE, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs, all columns, with the removed passages cut out of the text; its other characters stay as they are."""
+    """docs, all columns, with the removed passages cut out of the text; its other characters stay as they are. Of rows repeated with one key and text, one keeps what the first place keeps."""
     names = list(docs.columns)
-    for wanted in ("mark_", "spans_", "k_", "m_"):
+    for wanted in ("mark_", "k_", "m_", "spans_", "others_", "row_", "first_"):
         names.append(fresh(names, wanted))
-    at, spans, k, m = names[-4:]
-    cut = repeated_passages(docs, percent, passage, text, key).where("removed_words > 0").groupBy(F.col(key).alias(k), F.col("address").alias(m)).agg(F.max("spans").alias(spans))
+    at, k, m, spans, others, row, first = names[-7:]
+    judged = repeated_passages(docs, percent, passage, text, key).groupBy(F.col(key).alias(k), F.col("address").alias(m)).agg(
+        F.min(F.struct("removed_words", "spans")).alias("least"), F.max(F.struct("removed_words", "spans")).alias("most")
+    ).where("most.removed_words > 0")
+    judged = written(judged.select(k, m, F.col("least.spans").alias(spans), F.col("most.spans").alias(others)), "cuts")
     marked = docs.withColumn(at, F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))))
-    joined = marked.join(cut, F.col(f"`{key}`").eqNullSafe(F.col(k)) & (F.col(at) == F.col(m)), "left")
-
-    def strip(body: str | None, removed: list | None) -> str | None:
-        if body is None or not removed:
-            return body
-        import re
-
-        places = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", body)]
-        out, at = [], 0
-        for x in removed:
-            out.append(body[at : places[x["start"]][0]])
-            at = places[x["start"] + x["length"] - 1][1]
-        return "".join([*out, body[at:]])
-
-    return joined.withColumn(text, F.udf(strip, "string")(F.col(f"`{text}`"), F.col(spans))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    same = F.col(f"`{key}`").eqNullSafe(F.col(k)) & (F.col(at) == F.col(m))
+    # Rows that differ only in which of them is first are numbered in a written table, so the choice holds.
+    mixed = written(marked.join(judged.where(F.col(spans) != F.col(others)), same).withColumn(row, F.monotonically_increasing_id()), "mixed")
+    least = mixed.groupBy(k, m).agg(F.min(row).alias(first))
+    chosen = mixed.join(least.withColumnsRenamed({k: k + "1", m: m + "1"}), F.col(k).eqNullSafe(F.col(k + "1")) & (F.col(m) == F.col(m + "1")))
+    chosen = chosen.withColumn(spans, F.when(F.col(row) == F.col(first), F.col(spans)).otherwise(F.col(others)))
+    rest = marked.join(judged.where(F.col(spans) == F.col(others)), same, "left")
+    rest = rest.join(judged.where(F.col(spans) != F.col(others)).select(F.col(k).alias(k + "1"), F.col(m).alias(m + "1")), F.col(f"`{key}`").eqNullSafe(F.col(k + "1")) & (F.col(at) == F.col(m + "1")), "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    joined = rest.select(*columns, spans).unionByName(chosen.select(*columns, spans))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, text):
+            i, j = part.schema.get_field_index(text), part.schema.get_field_index(spans)
+            col, removed = part.column(i).to_pylist(), part.column(j)
+            rows = np.flatnonzero(pa.compute.fill_null(pa.compute.list_value_length(removed), 0).to_numpy())
+            if len(rows):
+                words = Words(part.column(i), NON_SPACE)
+                before = np.cumsum([0, *(len((x or "").encode()) for x in col)])
+                for n in rows.tolist():
+                    raw, out, since = col[n].encode(), [], 0
+                    for x in removed[n].as_py():
+                        a = words.offsets[n] + x["start"]
+                        out.append(raw[since : words.start[a] - before[n]])
+                        since = words.end[a + x["length"] - 1] - before[n]
+                    col[n] = b"".join([*out, raw[since:]]).decode()
+            yield pa.RecordBatch.from_arrays([pa.array(col, part.column(c).type) if c == i else part.column(c) for c in range(part.num_columns) if c != j], names=[n for c, n in enumerate(part.schema.names) if c != j])
+
+    return joined.mapInArrow(cut, docs.schema)

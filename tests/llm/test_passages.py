@@ -24,14 +24,11 @@ def flagged(spark, texts):
 
 
 def test_passages_of_short_paragraphs(spark):
-    verse, mixed = lines(20, 3), sentences([9, 2, 3, 8, 2, 2, 9, 3, 2, 8, 2, 3, 9])
-    edited = mixed.split(" ")
-    for i in (5, 30, 55):
-        edited[i] = "other" + "." * edited[i].endswith(".")
-    texts = [sentences([8] * 4) + f"\n{p}\n" + sentences([8] * 4) for p in (verse, verse, mixed, " ".join(edited))]
+    verse, mixed, apart = lines(20, 3), sentences([9, 2, 3, 8, 2, 2, 9, 3, 2, 8, 2, 3, 9]), sentences([7, 1, 2, 2] * 9)
+    texts = [sentences([8] * 4) + f"\n{p}\n" + sentences([8] * 4) for p in (verse, verse, mixed, mixed, apart, apart)]
     got = flagged(spark, [*texts, lines(30, 3), sentences([9, 2, 3] * 6)])
-    assert {i for i, r in got.items() if r.has_repeat} == {0, 1, 2, 3}
-    assert got[0].removed_words == 0 and 45 <= got[1].removed_words <= 60
+    assert {i for i, r in got.items() if r.has_repeat} == {0, 1, 2, 3, 4, 5}
+    assert got[0].removed_words == 0 and all(45 <= got[i].removed_words <= n for i, n in ((1, 60), (3, 62), (5, 108)))
 
 
 def test_short_paragraphs_that_differ_still_end_a_stretch(spark):
