@@ -146,21 +146,22 @@ def unit_rows(source: DataFrame) -> DataFrame:
     return source.mapInArrow(run, f"key {kind}, address bigint, row bigint, n_words bigint, runs array<struct<start: bigint, digest: bigint>>, paras array<struct<{numbers}>>")
 
 
-def _texts(source: DataFrame, targets: DataFrame, values: str) -> DataFrame:
-    """row, values and text of the documents of targets: key_, address_, row and values, which targets has once for each key and address."""
-    targets = targets.persist()
-    small = targets.count() <= BROADCAST_ROWS
+def _texts(source: DataFrame, places: DataFrame, documents: DataFrame) -> DataFrame:
+    """row, key, starts (a list) and text of the documents of places: row and start."""
+    starts = places.groupBy("row").agg(F.collect_list("start").alias("starts"))
+    targets = written(starts.join(documents.select(F.col("key").alias("key_"), F.col("address").alias("address_"), "row"), "row"), "targets")
+    small = (targets.agg(F.sum(F.size("starts"))).first()[0] or 0) <= BROADCAST_ROWS
     found = source.join(F.broadcast(targets) if small else targets, F.col("key").eqNullSafe(F.col("key_")) & (F.col("address") == F.col("address_")))
-    return found.select(targets["row"], values, "text")
+    return found.select("row", "key", "starts", "text")
 
 
-def shingle_arrays(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """digest and sorted shingles of the paragraphs of wanted: key_, address_, row and starts."""
+def shingle_arrays(source: DataFrame, places: DataFrame, documents: DataFrame) -> DataFrame:
+    """digest and sorted shingles of the paragraphs at places: row and start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
-            p = Paragraphs(part.column(2))
-            starts = part.column(1)
+            p = Paragraphs(part.column(3))
+            starts = part.column(2)
             places = starts.flatten().to_numpy() + p.words.offsets[np.repeat(np.arange(part.num_rows), pa.compute.list_value_length(starts).to_numpy())]
             pick = np.searchsorted(p.start, places)
             hashes, bounds = p.shingles()
@@ -168,7 +169,7 @@ def shingle_arrays(source: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(p.digest[pick]), pa.array(sets, pa.list_(pa.int64()))], names=["digest", "shingles"])
         tidy()
 
-    return _texts(source, wanted, "starts").mapInArrow(run, "digest bigint, shingles array<bigint>").groupBy("digest").agg(F.first("shingles").alias("shingles"))
+    return _texts(source, places, documents).mapInArrow(run, "digest bigint, shingles array<bigint>").groupBy("digest").agg(F.first("shingles").alias("shingles"))
 
 
 def _fits(a: str, b: str, percent: int) -> Column:
@@ -192,16 +193,15 @@ def clusters(source: DataFrame, documents: DataFrame, paras: DataFrame, percent:
         F.count("*").alias("n"), F.min("row").alias("low"), F.max("row").alias("high"), F.min(F.struct("row", "start")).alias("place"), *(F.first(c).alias(c) for c in ("size", *MINIMA, *BITS)),
     )
     kinds = written(kinds, "kinds")
-    bands = kinds.select(F.explode(F.array(*MINIMA)).alias("band"), "digest")
+    bands = kinds.select(F.explode(F.array(*MINIMA)).alias("band"), "digest").repartition("band")  # dealt once for both uses
     met = bands.groupBy("band").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high").select("band")
     pairs_of = written(bands.join(met, "band"), "met")
     marks = kinds.select("digest", "n", "size", *BITS)
     cells = written(pairs_of.join(marks, "digest").select("band", F.struct("n", "digest", "size", *BITS).alias("me")), "cells")
 
     # The sets of paragraphs that meet another, made once from the texts they first stand in.
-    places = kinds.join(cells.select("me.digest").distinct(), "digest", "left_semi").select("place.row", "place.start").groupBy("row").agg(F.collect_list("start").alias("starts"))
-    places = places.join(documents.select(F.col("key").alias("key_"), F.col("address").alias("address_"), "row"), "row")
-    arrays = written(shingle_arrays(source, places.select("key_", "address_", "row", "starts")), "sets")
+    places = kinds.join(cells.select("me.digest").distinct(), "digest", "left_semi").select("place.row", "place.start")
+    arrays = written(shingle_arrays(source, places, documents), "sets")
 
     # Every paragraph of a band meets its hub, the most frequent one that no earlier hub has joined; then pairs of what is still apart.
     links, whole, before = None, None, None
@@ -228,20 +228,18 @@ def clusters(source: DataFrame, documents: DataFrame, paras: DataFrame, percent:
     named = written(named, "classes")
     across = named.groupBy("component").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("component")
     out = written(named.select("digest", "component").join(across, "component"), "clusters")
-    for table in (kinds, pairs_of, cells, arrays, state, named):
-        discard(table)
+    discard(kinds, pairs_of, cells, arrays, state, named)
     return out
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """The rows (row, key, start, words, digest) whose digest two documents have, with the digest as component; each row's first place is marked."""
+    """The rows (row, key, start, words, digest) whose digest two documents have, with the digest as component; of those rows alone."""
     met = written(rows.groupBy("digest").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("digest"), "shared")
     return rows.join(met, "digest").withColumnRenamed("digest", "component")
 
 
 def _with_stays(marks: DataFrame) -> DataFrame:
     """marks and whether each is the first place of its component: of the smallest key, nulls last."""
-    marks = written(marks, "marks")
     first = marks.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "start")).alias("first"))
     first = written(first.select("component", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")), "firsts")
     return marks.join(first, "component").select("row", "key", "start", "words", "component", "kind", ((F.col("first_row") == F.col("row")) & (F.col("first_start") == F.col("start"))).alias("stays"))
@@ -258,11 +256,12 @@ def _stretches(marks: DataFrame) -> DataFrame:
 
 def windows_around(source: DataFrame, documents: DataFrame, runs: DataFrame, passage: int) -> DataFrame:
     """row, key, start, words, digest of all windows of passage words around the runs (row, start) given."""
+    kind = source.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
-            p = Paragraphs(part.column(2))
-            starts, first = part.column(1), p.words.offsets
+            p = Paragraphs(part.column(3))
+            starts, first = part.column(2), p.words.offsets
             at = np.repeat(np.arange(part.num_rows), pa.compute.list_value_length(starts).to_numpy())
             places = (starts.flatten().to_numpy() + first[at])[:, None] - np.arange(passage - RUN + 1)
             row = np.broadcast_to(at[:, None], places.shape)
@@ -270,19 +269,19 @@ def windows_around(source: DataFrame, documents: DataFrame, runs: DataFrame, pas
             places, back = np.unique(places[fits], return_index=True)
             row = row[fits][back]
             digest = (p.digests(places, places + passage) ^ WINDOW_SALT).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(places - first[row]), pa.array(digest)], names=["row", "start", "digest"])
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(places - first[row]), pa.array(digest)], names=["row", "key", "start", "digest"])
         tidy()
 
-    targets = runs.groupBy("row").agg(F.collect_list("start").alias("starts")).join(documents.select(F.col("key").alias("key_"), F.col("address").alias("address_"), "row"), "row")
-    found = _texts(source, targets.select("key_", "address_", "row", "starts"), "starts").mapInArrow(run, "row bigint, start bigint, digest bigint").distinct()
-    return found.join(documents.select("row", "key"), "row").withColumn("words", F.lit(passage).cast("long")).select("row", "key", "start", "words", "digest")
+    found = _texts(source, runs, documents).mapInArrow(run, f"row bigint, key {kind}, start bigint, digest bigint")
+    return found.withColumn("words", F.lit(passage).cast("long"))
 
 
 def judged_documents(source: DataFrame, percent: int, passage: int) -> DataFrame:
     """Per key and address: key, address, times (rows that have both), n_words, n_repeated, repeated_words, removed_words and spans of its first row."""
     if passage < RUN + WINDOW - 1:
         raise ValueError(f"a passage has {RUN + WINDOW - 1} words at least")
-    units = written(unit_rows(source.withColumn("row", F.monotonically_increasing_id())), "units")
+    every = units = written(unit_rows(source.withColumn("row", F.monotonically_increasing_id())), "units")
     # Rows of one key and text are one document, which then repeats as a whole.
     documents = units.groupBy("key", "address").agg(F.min("row").alias("row"), F.count("*").alias("times"), F.first("n_words").alias("n_words"))
     documents = written(documents, "documents")
@@ -294,14 +293,19 @@ def judged_documents(source: DataFrame, percent: int, passage: int) -> DataFrame
     named = paras.select("row", "key", "start", "words", "digest").join(grouped, "digest").select("row", "key", "start", "words", "component", F.lit("paragraph").alias("kind"))
     whole = documents.where("times > 1 and n_words > 0").select("row", "key", F.lit(0).cast("long").alias("start"), F.col("n_words").alias("words"), F.xxhash64("key", "address", "row").alias("component"), F.lit("whole").alias("kind"))
     shared = _shared(runs).select("row", "key", "start", "words", "component", F.lit("run").alias("kind"))
-    marks = written(_with_stays(shared.unionByName(named).unionByName(whole)), "places")
+    found = written(shared.unionByName(named).unionByName(whole), "marks")
+    marks = written(_with_stays(found), "places")
+    discard(every, grouped, found)
 
     # What runs cover of a passage may fall short of its edges: there all windows around the runs are compared, in every document that has such a run.
-    short = _stretches(marks.select("row", "start", "words", "component", "kind")).where((F.col("until") - F.col("since") < passage) & (F.col("kind") == "run")).select("component").distinct()
-    around = marks.where("kind = 'run'").join(written(short, "short"), "component").select("row", "start").distinct()
-    windows = _shared(written(windows_around(source, documents, around, passage), "windows"))
-    more = _with_stays(windows.select("row", "key", "start", "words", "component", F.lit("run").alias("kind")))
-    marks = marks.unionByName(more)
+    short = _stretches(marks.select("row", "start", "words", "component", "kind")).where((F.col("until") - F.col("since") < passage) & (F.col("kind") == "run")).select("row", "component")
+    short = written(short, "short")
+    around = marks.where("kind = 'run'").join(short.select("component").distinct(), "component").select("row", "start").distinct()
+    windows = written(windows_around(source, documents, around, passage), "windows")
+    shared = _shared(windows).select("row", "key", "start", "words", "component", F.lit("run").alias("kind"))
+    more = _with_stays(written(shared, "shared")).join(short.select("row").distinct(), "row", "left_semi")
+    marks = marks.unionByName(written(more, "more"))
+    discard(windows)
 
     # Stretches of enough words; inside them, words of places that don't stay go, unless a run that stays has them. Paragraphs that don't stay go in full.
     passages = _stretches(marks).where(F.col("until") - F.col("since") >= passage)
