@@ -17,13 +17,16 @@ SPELLINGS = (
     ("modelled", "modeled"), ("noncommercial", "non commercial"), ("organisation", "organization"), ("owner", "holder"),
     ("practise", "practice"), ("programme", "program"), ("recognised", "recognized"), ("sublicence", "sublicense"), ("sub license", "sublicense"), ("whilst", "while"), ("wilful", "willful"),
 )
-#: A line that only says who holds the copyright, and lines of that kind.
-COPYRIGHT_LINE = r"(?mi)^[^\S\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: A line that says who holds the copyright since when, behind comment signs or not; never one of a license's own sentences.
+COPYRIGHT_LINE = (
+    r"(?mi)^[ \t\f\r#*/;%!-]*(?:copyright[ \t:]*(?:\(c\)|©|\d{4}|[<\[{])[^\n]{0,160}"
+    r"|(?:\(c\)|©)[ \t]*(?:copyright[ \t]*)?\d{4}[^\n]{0,160}|all rights reserved\.?[ \t\f\r]*)$"
+)
 KNOWN_MOST = 10_000  # rows of the known table that may be broadcast
 
 
 def canonical(text: Column) -> Column:
-    """Lower case, without copyright lines, words joined by one blank, equivalent spellings made one."""
+    """Lower case, without the lines of copyright holders, words joined by one blank, equivalent spellings made one."""
     words = F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, "")), r"[^\p{L}\p{N}]+", "  ")
     spelt = reduce(lambda c, pair: F.replace(c, F.lit(f" {pair[0]} ".replace(" ", "  ")[1:-1]), F.lit(f" {pair[1]} ".replace(" ", "  ")[1:-1])), SPELLINGS, F.concat(F.lit("  "), words, F.lit("  ")))
     return F.trim(F.regexp_replace(spelt, " +", " "))
@@ -70,8 +73,16 @@ def scan(docs: DataFrame, known: DataFrame | None = None, text: str = "text", ke
 
 
 def canonical_sql(text: str) -> str:
-    """canonical() in DuckDB's SQL."""
-    out = f"regexp_replace(lower(regexp_replace(coalesce({text}, ''), '{COPYRIGHT_LINE.replace('(?mi)', '(?mi)')}', '', 'g')), '[^\\p{{L}}\\p{{N}}]+', '  ', 'g')"
+    """canonical() in DuckDB's SQL; lines of holders are told by their parts."""
+    line = "ltrim(lower(l), ' ' || chr(9) || chr(12) || chr(13) || '#*/;%!-')"
+    rest = f"ltrim({line}[10:], ' ' || chr(9) || ':')"
+    sign = f"CASE WHEN starts_with({line}, '(c)') THEN ltrim({line}[4:], ' ' || chr(9)) WHEN starts_with({line}, '©') THEN ltrim({line}[2:], ' ' || chr(9)) END"
+    year = f"(CASE WHEN starts_with({sign}, 'copyright') THEN ltrim(({sign})[10:], ' ' || chr(9)) ELSE {sign} END)"
+    since = f"coalesce(regexp_matches({year}[1:4], '^[0-9]{{4}}$') AND length({year}) <= 164, false)"
+    holder = f"""(starts_with({line}, 'copyright') AND (starts_with({rest}, '(c)') AND length({rest}) <= 163 OR regexp_matches({rest}[1:4], '^[0-9]{{4}}$') AND length({rest}) <= 164 OR {rest}[1] IN ('©', '<', '[', '{{') AND length({rest}) <= 161)
+      OR {since} OR rtrim({line}, ' ' || chr(9) || chr(12) || chr(13)) IN ('all rights reserved', 'all rights reserved.'))"""
+    kept = f"array_to_string([CASE WHEN {holder} THEN '' ELSE l END FOR l IN string_split(coalesce({text}, ''), chr(10))], chr(10))"
+    out = f"regexp_replace(lower({kept}), '[^\\p{{L}}\\p{{N}}]+', '  ', 'g')"
     out = f"('  ' || {out} || '  ')"
     for a, b in SPELLINGS:
         out = f"replace({out}, '{f' {a} '.replace(' ', '  ')[1:-1]}', '{f' {b} '.replace(' ', '  ')[1:-1]}')"
