@@ -15,13 +15,13 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, fresh, text_bytes, text_slices
+from .common import bounded_batches, fresh, text_bytes, text_slices, tidy
 
 WINDOW = 256  # bytes
 WIDTHS, FILTERS, EMBEDDED = (2, 3, 4), 16, 8
 PER_LANGUAGE = 1000  # labelled documents of a language that are trained on, about
 PARTS = 3  # windows taken from each of them
-LANGUAGES_MOST = 300  # languages learned, the most frequent ones
+LEARNED_MOST = 300_000  # labelled documents trained on in all, about; with very many languages each has fewer, but none is left out
 EPOCHS, BATCH = 8, 128
 TOGETHER = 512  # windows scored at once
 
@@ -131,11 +131,12 @@ def held_out(key: Column) -> Column:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = PER_LANGUAGE) -> ByteNetwork | None:
-    """A network from at most about per_language documents of each language, chosen by a hash of their keys; None without any label."""
+    """A network for all languages from at most about per_language documents of each, chosen by a hash of their keys, three windows of each; None without any label."""
     usable = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("key")))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES_MOST).collect()
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return None
+    per_language = max(1, min(per_language, LEARNED_MOST // len(counts)))
     share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, per_language / r["count"]))])
     draw = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit(17)), F.lit(1 << 40)) / float(1 << 40)
     size = F.length("text")
@@ -177,6 +178,7 @@ def identify(docs: DataFrame, network: ByteNetwork | None, text: str = "text") -
                 score[seen] = mean.max(axis=1)
             columns = [part.column(i) for i in range(part.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(score)], schema=pa.schema([*[part.schema.field(i) for i in range(part.num_columns) if i != at], pa.field("lang_pred", pa.string()), pa.field("score", pa.float64())]))
+        tidy()
 
     return source.mapInArrow(run, schema)
 
@@ -188,7 +190,14 @@ def predicted(docs: DataFrame, text: str = "text", lang: str = "lang", key: str
 
 
 def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
-    """The rows of docs, all columns, in a language that was learned; texts without a letter go."""
+    """The rows of docs, all columns, that the network names a language for: those with a letter. Others have no language and go.
+
+    The network chooses between the languages it has learned, so a document with letters is never rejected by its
+    score; where nothing could be learned, documents with letters stay all the same.
+    """
+    network = fit(docs, text, lang, key)
+    if network is None:
+        return docs.where(F.coalesce(F.col(f"`{text}`").cast("string").rlike(r"\p{L}"), F.lit(False)))
     names = {c: fresh(docs.columns, f"{c}_kept_") for c in docs.columns if c.lower() in ("lang_pred", "score")}
-    found = identify(docs.withColumnsRenamed(names), fit(docs, text, lang, key), text).where("lang_pred <> 'und'")
+    found = identify(docs.withColumnsRenamed(names), network, text).where("lang_pred <> 'und'")
     return found.select(*[F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns])

@@ -156,7 +156,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 512, text: str =
     results = ("n_bytes", "n_tokens", "over_limit")
     others = [c for c in docs.columns if c != text and c.lower() not in results]
     held = fresh(others, "text_")
-    source = docs.select(*[F.col(f"`{c}`") for c in others], F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), F.col(text).cast("string").alias(held))
+    source = docs.select(*[F.col(f"`{c}`") for c in others], F.coalesce(F.octet_length(F.col(f"`{text}`").cast("string")), F.lit(0)).cast("long").alias("n_bytes"), F.col(f"`{text}`").cast("string").alias(held))
     schema = source.drop(held).withColumn("n_tokens", F.lit(0).cast("long")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

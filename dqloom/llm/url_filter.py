@@ -10,36 +10,43 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, mix64, text_bytes
+from .common import mix64, text_bytes, tidy
 
 #: Rules of the production list: action, host and path as one string.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
-MOST_RULES = 1000  # a longer list would make the expression too large
-#: Words of the labelled URL table.
-BLOCKED_WORDS = """ads adtracker adult adult-video adserver bet bets best-odds bingo bonus buy-now casino cheap cheap-pills click-bait clickfarm cracked crypto-double dating-hot diet-pills discount-meds escort
-fake-watches farm-links free-money gamble get-rich hotgirls jackpot keygen link-farm loan-now lottery miracle-cure nude onlinecasino payday pharma pills poker porn
-replica scam seo-links sex slots spam spam-farm spammer sports-bets sweepstake torrent-crack viagra track-clicks warez webcam-girls win win-prize xxx""".split()
-ALLOWED_WORDS = """academy archive arts astronomy atlas biology blog bookshop botany chemistry city-council college community cooking courthouse data dictionary docs
-education encyclopedia engineering forum gallery gardening geography government health-service history hospital journal kitchen language law library lighthouse literature
-magazine mathematics medicine museum music nature news observatory orchestra parliament philosophy photography physics podcast poetry press recipes research school science
-shop society station statistics stories team theatre tourism travel university weather wiki workshop""".split()
+#: Words of the labelled URL table: what a training corpus can do without, and topics.
+BLOCKED_WORDS = """adult ads adserver banner betting bingo blackjack bonus cams cash casino cheap clicks coupon cracked dating deals discount doorway drugs erotic escort fake
+followers free gamble hookup jackpot keygen linkfarm lottery loans lucky malware meds naked nude odds payday pharmacy phish pills poker popup porn prize promo replica roulette
+scam serial sexy slots spam spammer sweepstakes torrent tracker viagra virus warez webcam winner xxx""".split()
+ALLOWED_WORDS = """academy agriculture archive article astronomy atlas biology botany bridge builder chemistry children church climate college community concert council culture dance
+dictionary economy education encyclopedia energy engineering family festival fisheries forest gallery garden geography glossary health history hospital institute journal
+kitchen language law lecture library literature magazine manual maths medicine mountain museum music nature news novel ocean opera painting parliament
+philosophy physics poetry politics railway recipes report research river school science sculpture society sport statistics story teacher theatre transport travel tutorial
+university village weather wiki""".split()
 BUCKETS = 1 << 14
 SIZES = (3, 4, 5)
+BLOCK_SHARE = 0.7  # weight of the blocked rows in training: a URL has one telling word among neutral parts
 
 
 def labelled_urls() -> list[tuple[str, str, int]]:
-    """host, path and 1 (block) or 0: the small labelled table, two URLs for each word and some plain made-up hosts."""
-    tlds, syllables = ("com", "net", "org", "info"), ("ba", "co", "da", "el", "fi", "gu", "ha", "in", "ka", "lo", "mi", "na", "or", "pe", "ri", "sa", "th", "tion", "en", "er")
-    rows = []
+    """host, path and 1 (block) or 0: the small labelled table. Both classes have the same forms of URLs; hosts of made-up syllables are allowed."""
+    tlds, rows = ("biz", "co.uk", "com", "eu", "info", "net", "online", "org"), []
+
+    def plain(i: int) -> str:
+        return ("", "/", f"/p{i * 13 % 89}.html", f"/{i * 61 % 9973}", f"/x/{i * 37 % 997}/", f"/{'abdfkmz'[i % 7]}{'aeiou'[i % 5]}/{i * 17 % 9001}")[i % 6]
+
     for label, words in ((1, BLOCKED_WORDS), (0, ALLOWED_WORDS)):
+        n = len(words)
         for i, w in enumerate(words):
-            sub = ("", "www.", "blog.", "m.")[i // 4 % 4]
-            rows.append((f"{sub}{w}.{tlds[i % 4]}", f"/{('en', 'fr', 'de', 'es')[i % 4]}/{i * 37 % 1000}", label))
-            rows.append((f"{sub}{syllables[i % 20]}{syllables[i * 7 % 20]}.example.{tlds[(i + 1) % 3]}", f"/{w}/{i * 53 % 1000}.html", label))
-            rows.append((f"{w}.example.{tlds[i % 3]}", "/" + ("en", "fr", "de", "es")[(i + 1) % 4] + f"/{i * 91 % 1000}", label))
-    for i in range(600):
-        made = "".join(syllables[(i * k + i // 20 + k) % 20] for k in (1, 3, 7)[: 2 + i % 2])
-        rows.append((("", "www.", "blog.", "m.")[i // 3 % 4] + f"{made}.{('example.', '', 'example.')[i % 3]}{tlds[i % 4]}", f"/{('en', 'fr', 'de', 'es')[i // 4 % 4]}/{i * 2917 % 100000}" + ("", ".html", "/")[i % 3], 0))
+            p, q, tld = words[(i * 7 + 3) % n], words[(i * 11 + 5) % n], tlds[i % len(tlds)]
+            rows += [(h, path, label) for h, path in (
+                (f"{w}{p}.{tld}", plain(i)), (f"www.{q}-{w}.{tld}", plain(i + 1)), (f"{w}-{p}.pages{i % 9}.{tld}", plain(i + 2)), (f"my{w}24.{tld}", plain(i + 3)), (f"{w}.{tld}", plain(i + 4)),
+                (f"www.{w}s.hosted.{tld}", plain(i + 5)), (f"m.{q}-{w}.server.{tld}", plain(i + 2)), (f"blog.{w}-{q}.sites{i % 7}.{tld}", plain(i + 3)), (f"pages.host{i % 9}.{tld}", f"/~{w}/{q}"), (f"{p}.{tld}", f"/2019/0{i % 9 + 1}/{w}-{q}"),
+            )]
+    onsets, ends = ("b", "br", "d", "f", "g", "gl", "k", "l", "m", "n", "p", "r", "s", "st", "t", "v"), ("a", "an", "e", "el", "i", "in", "o", "or", "u", "um")
+    for i in range(800):
+        made = "".join(onsets[(i * k + i // 16) % 16] + ends[(i * (k + 2) + i // 10) % 10] for k in (1, 3, 5)[: 2 + i % 2])
+        rows.append((("", "www.", "m.")[i % 3] + f"{made}.{tlds[i % len(tlds)]}", plain(i // 3), 0))
     return rows
 
 
@@ -70,12 +77,12 @@ def block_probability(weights: np.ndarray, hosts: pa.Array, paths: pa.Array) ->
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def train(rows: list[tuple[str, str, int]], steps: int = 1500, rate: float = 8.0, decay: float = 5e-5) -> np.ndarray:
-    """Weights of the buckets and, last, the bias; full-batch gradient descent, the classes weigh the same."""
-    hosts, paths, y = pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), np.array([r[2] for r in rows], float)
+def train(rows: list[tuple[str, str, int]], steps: int = 4000, rate: float = 8.0, decay: float = 5e-5) -> np.ndarray:
+    """Weights of the buckets and, last, the bias; full-batch gradient descent."""
+    hosts, paths, y = pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), np.array([r[2] for r in rows], float)
     buckets, at, count = grams(hosts, paths)
     scale = 1 / np.sqrt(count)
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    share = np.where(y == 1, BLOCK_SHARE / max(1, y.sum()), (1 - BLOCK_SHARE) / max(1, (1 - y).sum()))
     weights = np.zeros(BUCKETS + 1)
     for _ in range(steps):
         z = np.bincount(at, weights=weights[buckets], minlength=len(y)) * scale + weights[-1]
@@ -93,36 +100,58 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RULES) -> Column:
-    """The longest rule that fits, or null."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"at most {MOST_RULES} rules")
-    out = F.lit(None).cast("string")
-    for _, rule in sorted(rules, key=lambda r: (len(r[1]), r[1])):
-        at, slash, rest = rule.partition("/")
-        fits = ((host == at) | host.endswith("." + at)) & path.startswith(slash + rest)
-        out = F.when(fits, F.lit(rule)).otherwise(out)
-    return out
+class Rules:
+    """Rules by host: of those whose host is the url's or a parent of it, and whose path begins the url's path, the longest wins (of equally long ones, the last in order)."""
+
+    def __init__(self, rules):
+        self.by_host: dict[str, list[tuple[str, str, str]]] = {}
+        for action, rule in sorted(rules, key=lambda r: (len(r[1]), r[1]), reverse=True):
+            at, slash, rest = rule.partition("/")
+            self.by_host.setdefault(at, []).append((slash + rest, rule, action))
+
+    def of_host(self, host: str) -> list[tuple[str, str, str]]:
+        """path, rule and action of all rules for a host, the longest first."""
+        found = list(self.by_host.get(host, ()))
+        at = host.find(".")
+        while at >= 0:
+            found += self.by_host.get(host[at + 1 :], ())
+            at = host.find(".", at + 1)
+        return sorted(found, key=lambda r: (len(r[1]), r[1]), reverse=True)
+
+    def of_urls(self, hosts: pa.Array, paths: pa.Array) -> list[tuple[str | None, str | None]]:
+        """rule and action for each url, or nulls. Each host is looked up once."""
+        coded = hosts.dictionary_encode()
+        rules = [self.of_host(h) for h in coded.dictionary.to_pylist()]
+        out: list[tuple[str | None, str | None]] = [(None, None)] * len(hosts)
+        code = coded.indices.to_numpy()
+        some = np.flatnonzero(np.array([bool(r) for r in rules], bool)[code]) if len(rules) else []
+        for i, path in zip(some, paths.take(pa.array(some, pa.int64())).to_pylist(), strict=True):
+            out[i] = next(((rule, action) for start, rule, action in rules[code[i]] if path.startswith(start)), (None, None))
+        return out
 
 
 def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, labelled: list[tuple[str, str, int]] | None = None, threshold: float = 0.5, url: str = "url", key: str = "page_id") -> DataFrame:
     """Per row: key, host, path, rule, verdict (allow or block) and score (the method's probability of block).
 
-    The longest rule that fits decides; without one, a score over threshold blocks. A null url, or one without
+    The longest rule that fits decides; without one, a score over threshold blocks and one equal to it allows. A null url, or one without
     ://, has an empty host and path, fits no rule and is scored as such. Repeated rows give repeated results, an empty
-    table an empty one; other columns don't matter. labelled is a small table held on the driver.
+    table an empty one; other columns don't matter. labelled is a small table held on the driver; an empty one gives a score of
+    one half to all. The list of rules, of any length, is held once by each Python worker.
     """
-    weights = train(labelled if labelled is not None else labelled_urls())
+    spark = pages.sparkSession
+    weights = spark.sparkContext.broadcast(train(labelled if labelled is not None else labelled_urls()))
+    listed = spark.sparkContext.broadcast(Rules(rules))
     link = F.col(f"`{url}`").cast("string")
     source = pages.select(F.col(f"`{key}`").alias("key"), host_of(link).alias("host"), path_of(link).alias("path"))
-    schema = source.withColumn(fresh(source.columns, "score"), F.lit(0.0)).schema
+    kind = source.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                score = block_probability(weights, batch.column(1), batch.column(2))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "score"])
+                score = block_probability(weights.value, batch.column(1), batch.column(2))
+                found = listed.value.of_urls(batch.column(1), batch.column(2))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array([r for r, _ in found], pa.string()), pa.array([a for _, a in found], pa.string())], names=["key", "host", "path", "score", "rule", "action"])
+        tidy()
 
-    actions = F.create_map(*[F.lit(x) for action, rule in rules for x in (rule, action)]) if rules else F.lit(None).cast("map<string,string>")
-    scored = source.mapInArrow(run, schema).withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
-    return scored.select(F.col("key").alias(key), "host", "path", "rule", F.coalesce(actions[F.col("rule")], F.when(F.col("score") > threshold, "block").otherwise("allow")).alias("verdict"), "score")
+    scored = source.mapInArrow(run, f"key {kind}, host string, path string, score double, rule string, action string")
+    return scored.select(F.col("key").alias(key), "host", "path", "rule", F.coalesce("action", F.when(F.col("score") > threshold, "block").otherwise("allow")).alias("verdict"), "score")
