@@ -69,8 +69,12 @@ def tidy() -> None:
 
 
 def bounded_batches(spark: SparkSession, megabytes: int = 4) -> None:
-    """Arrow batches end at so many bytes, where Spark knows the setting, so long texts don't pile up in a worker."""
+    """Arrow batches end at so many bytes, where Spark knows the setting, and readers take fewer rows at once, so long texts don't pile up.
+
+    Both are settings of the session, and stay.
+    """
     spark.conf.set(BATCH_BYTES, str(megabytes << 20))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "1024")
 
 
 def fresh(names: list[str], wanted: str) -> str:

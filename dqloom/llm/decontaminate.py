@@ -18,7 +18,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, Words, bounded_batches, fresh, text_slices
+from .common import ALNUM, Words, bounded_batches, fresh, text_slices, tidy
 
 SPAN, GRAM = 10, 6
 BLOCK_BYTES = 8 << 20  # benchmark text that is indexed and broadcast at once; more makes more blocks
@@ -175,6 +175,7 @@ def _marker(index, held: str):
                 spans, hits = pa.array(spans, part.schema.field("spans").type), pa.array(hits, pa.int64())
             new = {"n_words": pa.array(np.diff(words.offsets).astype(np.int64)), "n_hit": hits, "spans": spans}
             yield pa.RecordBatch.from_arrays([new.get(n, part.column(i)) for i, n in enumerate(names)], schema=part.schema)
+        tidy()
 
     return run
 

@@ -20,7 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, NON_SPACE, Words, bounded_batches, keep_rows, mix64, text_slices, written
+from .common import BROADCAST_ROWS, NON_SPACE, Words, bounded_batches, keep_rows, mix64, text_slices, tidy, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -76,6 +76,7 @@ def common_shingles(source: DataFrame, k: int) -> np.ndarray:
                     least = np.sort(counts)[-COUNTED // 2]
                     seen, counts = seen[counts >= least], counts[counts >= least]
         often = counts >= 4
+        tidy()
         yield pa.RecordBatch.from_arrays([pa.array(seen[often].view(np.int64)), pa.array(counts[often])], names=["shingle", "n"])
 
     counted = source.select("text").mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -113,6 +114,7 @@ def signatures(source: DataFrame, common, k: int, percent: int) -> DataFrame:
                 [*kept, pa.array(n.astype(np.int64)), *map(pa.array, digests), *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(WIDTH // 64)), prefix],
                 names=["key", "address", "row", "n", "d1", "d2", *BITS, "prefix"],
             )
+        tidy()
 
     schema = f"key {source.schema['key'].dataType.simpleString()}, address bigint, row bigint, n bigint, d1 bigint, d2 bigint, {', '.join(f'{b} bigint' for b in BITS)}, prefix array<bigint>"
     return source.mapInArrow(run, schema)
@@ -158,6 +160,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, source: DataFrame, common, k: i
             offsets, values = shingle_sets(part.column(1), common.value, k)
             wide = [wide_signature(values[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(offsets).astype(np.int64)), pa.array(wide, pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))], names=["node", "n", "wide", "shingles"])
+        tidy()
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

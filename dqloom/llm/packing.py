@@ -18,7 +18,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, bounded_batches, fresh, span_hashes, text_bytes, text_slices, written
+from .common import LOWER, bounded_batches, fresh, span_hashes, text_bytes, text_slices, tidy, written
 
 CAPACITY = 2048
 GROUP_PIECES = 8192  # pieces that are packed together, on average
@@ -189,6 +189,9 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
         encoder.clear()  # the worker lives on
+        _word_ids.cache_clear()
+        del encoder
+        tidy()
 
     return source.mapInArrow(run, schema)
 

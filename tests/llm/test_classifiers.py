@@ -114,3 +114,21 @@ def test_quality_edges(spark):
     none = quality.judged(docs, known.limit(0)).collect()
     assert all(r.quality_score is None and r.keep for r in none)
     assert quality.judged(docs.limit(0), known).count() == 0
+
+
+def test_the_network_matches_a_plain_convolution():
+    import numpy as np
+
+    from dqloom.llm.language_id import WIDTHS, WINDOW, train, windows_of
+
+    net = train(["ab cd " * 30, "xyz wvu " * 30, "ab ab cd " * 20, "wvu xyz " * 20] * 4, ["a", "b", "a", "b"] * 4)
+    data = np.frombuffer(("ab xyz é cd" * 40).encode(), np.uint8)
+    windows, _, filled = windows_of(data, np.array([0, len(data)]))
+    want = []
+    for w in windows:
+        features = []
+        for width, table in zip(WIDTHS, net.tables, strict=True):
+            responses = [sum(table[j][w[i + j]] for j in range(width)) for i in range(WINDOW - width + 1)]
+            features += list(np.max(responses, axis=0))
+        want.append(np.maximum(np.array(features) + net.bias, 0) @ net.weights + net.offset)
+    assert filled.sum() == len(data) and np.allclose(net.logits(windows), np.array(want), atol=1e-4)

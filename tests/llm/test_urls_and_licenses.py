@@ -81,3 +81,25 @@ def test_license_scan_matches_sql_and_a_large_known_table(spark, monkeypatch):
     monkeypatch.setattr(licenses, "KNOWN_MOST", 5)
     assert sorted(map(tuple, licenses.scan(df.withColumn("row_", F.lit(1))).collect()), key=str) == want
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+def test_long_lists_of_rules_and_no_labelled_urls(spark):
+    many = tuple(("block", f"host{i}.com/a") for i in range(3000)) + url_filter.RULES
+    df = spark.createDataFrame([(1, "http://x.host2999.com/abc"), (2, "http://host1.com/b"), (3, "http://a.example.com/en/7"), (4, "ftp://q.com/x")], "page_id bigint, url string")
+    got = {r.page_id: (r.rule, r.verdict, r.score) for r in url_filter.filter_urls(df, many, labelled=[]).collect()}
+    assert got == {1: ("host2999.com/a", "block", 0.5), 2: (None, "allow", 0.5), 3: ("example.com/en/7", "allow", 0.5), 4: (None, "allow", 0.5)}
+
+
+def test_only_lines_of_holders_are_left_out(spark):
+    isc = dict(FULL)["ISC"]
+    one_line = re.sub(r"\s+", " ", isc)
+    wrapped = dict(FULL)["MIT"].replace("The above copyright notice", "The above\ncopyright notice")
+    commented = "# Copyright (c) 2024 Some Holder\n#\n" + "".join(f"# {line}\n" for line in isc.split("\n"))
+    altered = isc.replace("copyright notice and this permission notice appear in all copies", "copyright terms that differ entirely")
+    shout = dict(FULL)["MIT"].replace("\nAUTHORS OR COPYRIGHT HOLDERS", " AUTHORS OR\nCOPYRIGHT HOLDERS")
+    texts = [one_line, wrapped, commented, altered, shout, "© 2019 Y\n" + isc, "Copyright [yyyy] [name]\n" + isc, "(c) you must keep this.\n" + isc, "Copyright 2020 X " + "and words " * 40 + "\n" + isc]
+    df = table(spark, texts)
+    got = [r.license_id for r in licenses.scan(df).orderBy("doc_id").collect()]
+    assert got == ["ISC", "MIT", "ISC", None, "MIT", "ISC", "ISC", None, None]
+    documents = df.toPandas()  # noqa: F841
+    assert sorted(map(str, duckdb.connect().sql(licenses.scan_sql()).fetchall())) == sorted(map(str, map(tuple, licenses.scan(df).collect())))
