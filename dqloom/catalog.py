@@ -24,11 +24,14 @@ SQL: dict[str, str] = {}
 CODES = ["EUR", "GBP", "JPY", "MRU", "USD"]
 NUMBERS = {"840": "USD", "978": "EUR"}
 MEMORY = {"@@": "XOF"}
+#: Names and towns that the inputs below contain; real lists come from dictionary files.
+NAMES = ["AHMED", "MOHAMED", "SALEM"]
+TOWNS = {"casablanca": "MA", "paris": "FR", "shanghai": "CN"}
 COUNTRY_NAMES = {"france": "FR", "espagne": "ES", "maroc": "MA", "mauritanie": "MR"}
 COUNTRY_CODES = ["ES", "FR", "MA", "MR", "US"]
 BANK_NAMES = {"Natixis Paris": "NATIXIS", "ATTIJARI": "ATTIJARI BANK", "Bred Banque": "BRED BANQUE POPULAIRE"}
 CURRENCY = {"codes": CODES, "numbers": NUMBERS, "memory": MEMORY}
-COUNTRY = {"names": COUNTRY_NAMES, "codes": COUNTRY_CODES, "fuzzy": None}
+COUNTRY = {"names": COUNTRY_NAMES, "codes": COUNTRY_CODES, "fuzzy": None, "address_words": TOWNS}
 
 
 def query(sql: str | None = None):
@@ -172,7 +175,7 @@ def payment_mode_cascade(spark, sf_dir):
 
 _labels = {x: x for x in words.flatten_categories(words.NATURES)}
 NATURE_CLEAN = r"array_to_string(list_filter(string_split(trim(regexp_replace(trim(regexp_replace(upper(r), '[^A-Z0-9]+', ' ', 'g')), '^\d{1,5}[-\s]+', '')), ' '), lambda w: length(w) >= 2 AND NOT regexp_full_match(w, '[0-9A-Z]{1,3}[0-9]+[0-9A-Z]*')), ' ')"
-_known = f"len(list_filter(string_split(clean, ' '), lambda w: w IN ({listed(words.FIRST_NAMES)})))"
+_known = f"len(list_filter(string_split(clean, ' '), lambda w: w IN ({listed(NAMES)})))"
 NATURE_ARMS = [
     ("upper(trim(r)) IN ('', 'NAN', 'NONE', 'NULL')", "NULL", "NULL"), ("upper(trim(r)) = 'NA'", "'OUTLIER'", "'OUTLIER'"),
     (f"clean = '' OR length(clean) <= 1 OR regexp_full_match(clean, '[0-9]+') OR clean IN ({listed(words.NATURE_HEADERS)}) OR (len(string_split(clean, ' ')) >= 2 AND {_known} >= greatest(1, len(string_split(clean, ' ')) // 2))", "'OUTLIER'", "'NOISE'"),
@@ -183,7 +186,7 @@ NATURE_ARMS = [
 
 @query(cascade_sql("NatureEconomique", NATURE_CLEAN, NATURE_ARMS, None))
 def nature_cascade(spark, sf_dir):
-    return resolved_rows(spark, sf_dir, "nature", "NatureEconomique")
+    return resolved_rows(spark, sf_dir, "nature", "NatureEconomique", names=NAMES)
 
 
 _targets = {v.upper(): v for v in BANK_NAMES.values()}
@@ -201,7 +204,7 @@ def product_cascade(spark, sf_dir):
 
 _names = {k: v for k, v in COUNTRY_NAMES.items()}
 _not_country = words.NOT_A_COUNTRY.replace("NA(?!MIBI)", "NA")
-_address = sorted(words.ADDRESS_WORDS.items(), key=lambda kv: -len(kv[0]))
+_address = sorted(TOWNS.items(), key=lambda kv: -len(kv[0]))
 COUNTRY_ARMS = [
     ("clean = ''", "NULL", "NULL"), (f"regexp_matches(clean, '{_not_country}') OR regexp_full_match(clean, '[0-9]+')", "'OUTLIER'", "'OUTLIER'"), _table_arm(_names, "lower(clean)", "MAP"),
     _table_arm({c: c for c in COUNTRY_CODES}, "clean", "MAP", "length(clean) = 2"), *[(f"contains(lower(clean), '{k}')", f"'{v}'", "'ADDR'") for k, v in _address],
@@ -216,7 +219,7 @@ def country_deterministic(spark, sf_dir):
 # Cleaned forms of the names in the view, for the oracle: clean_label has no SQL form.
 _cleaned = {"SOCIETE ALPHA SARL": "SOCIETE ALPHA SARL", "Mohamed Ould Ahmed": "MOHAMED OULD AHMED", "ETS Mohamed Salem": "ETS MOHAMED SALEM", "ETS DU NORD": "ETS DU NORD", "H.M Trading": "HM TRADING", "12345": "12345", "SOMELEC NOUAKCHOTT": "SOMELEC NOUAKCHOTT", "Beta.Gamma": "BETA GAMMA", "ALI ET FILS": "ALI ET FILS", "NA": "NA", "x": "X"}
 _company = "(^|[^A-Z0-9_])(" + "|".join(sorted(words.COMPANY_WORDS, key=len, reverse=True)) + ")([^A-Z0-9_]|$)"
-_has_name = f"len(list_filter(string_split({{}}, ' '), lambda w: w IN ({listed(words.FIRST_NAMES)}))) > 0"
+_has_name = f"len(list_filter(string_split({{}}, ' '), lambda w: w IN ({listed(NAMES)}))) > 0"
 _rest = "trim(regexp_replace(clean, '^(ETS|ETB|ETABLISSEMENTS?)([^A-Z0-9_]|$)\\s*', ''))"
 _ets = "regexp_matches(clean, '^(ETS|ETB|ETABLISSEMENTS?)([^A-Z0-9_]|$)')"
 LOCAL_ARMS = [
@@ -231,7 +234,7 @@ def local_classifier(spark, sf_dir):
 
     df = view(spark, sf_dir, "tx").select("NomDonneurOrdre")
     values = distinct_values(df, "NomDonneurOrdre").withColumn("clean", text.clean_label(F.col("NomDonneurOrdre")))
-    found_ = resolve(values, fields.local_steps(F.col("clean")), otherwise=None)
+    found_ = resolve(values, fields.local_steps(F.col("clean"), NAMES), otherwise=None)
     return counted(attach(df, found_, ["NomDonneurOrdre"], "value", "method"), "NomDonneurOrdre", "value", "method")
 
 
@@ -256,7 +259,7 @@ def entity_exact_stages(spark, sf_dir):
 def local_entity_cascade(spark, sf_dir):
     df = view(spark, sf_dir, "tx").select("NomDonneurOrdre", "NifNni")
     entities = spark.createDataFrame([(0, "SOMELEC", "Societe Mauritanienne d'Electricite"), (1, "SNIM", "Societe Nationale Industrielle et Miniere")], ["place", "Short Name", "Raison social - Public Ent"])
-    out, _ = fields.local_entity(distinct_values(df, "NomDonneurOrdre", "NifNni"), "NomDonneurOrdre", "NifNni", view(spark, sf_dir, "base"), entities)
+    out, _ = fields.local_entity(distinct_values(df, "NomDonneurOrdre", "NifNni"), "NomDonneurOrdre", "NifNni", view(spark, sf_dir, "base"), entities, names=NAMES)
     return out.select("NomDonneurOrdre", "NifNni", "value", "method")
 
 

@@ -106,7 +106,7 @@ def country(values: DataFrame, raw: str, memory=None, names=None, codes=None, ad
         out = out.join(hits, (F.col("method") == "check") & (F.lower("clean") == F.col("like_key_")), "left")
     else:
         out = out.withColumn("like_", F.lit(None).cast("string"))
-    out = longest_contained(out, F.lower("clean"), list((address_words if address_words is not None else words.ADDRESS_WORDS).items()))
+    out = longest_contained(out, F.lower("clean"), list((address_words or {}).items()))
     check = F.col("method") == "check"
     return out.select(
         *[F.col(f"`{c}`") for c in prepared.columns],
@@ -118,7 +118,7 @@ def country(values: DataFrame, raw: str, memory=None, names=None, codes=None, ad
 def looks_like_name(clean: Column, names: list[str]) -> Column:
     """At least two words, half of them (rounded down, one at least) first names."""
     parts = F.split(clean, " ")
-    known = F.size(F.filter(parts, lambda w: w.isin(names)))
+    known = F.size(F.filter(parts, lambda w: w.isin(names))) if names else F.lit(0)
     return (F.size(parts) >= 2) & (known >= F.greatest(F.lit(1), F.floor(F.size(parts) / 2)))
 
 
@@ -134,7 +134,7 @@ def nature(values: DataFrame, raw: str, memory=None, natures=None, direct=None,
     r, clean = F.col(f"`{raw}`"), F.col("clean")
     bare = F.upper(text.ustrip(r))
     vague = [k for k, v in direct.items() if v is None]
-    obvious = (F.length(clean) <= 1) | clean.rlike(r"^\d+$") | looks_like_date(clean) | looks_like_name(clean, names or words.FIRST_NAMES)
+    obvious = (F.length(clean) <= 1) | clean.rlike(r"^\d+$") | looks_like_date(clean) | looks_like_name(clean, names or [])
     steps = [
         Rule(None, bare.isin("", "NAN", "NONE", "NULL"), None),
         Rule(OUTLIER, bare == "NA"),
@@ -184,10 +184,9 @@ def obvious_noise(label: Column) -> Column:
 
 
 def local_class(label: Column, names: list[str] | None = None) -> tuple[Column, Column]:
-    """Conditions for a private person and for a sole trader (ETS and a person's name)."""
-    names = names or words.FIRST_NAMES
+    """Conditions for a private person and for a sole trader (ETS and a person's name); names are first names, none by default."""
     company = rf"\b(?:{'|'.join(sorted(words.COMPANY_WORDS, key=len, reverse=True))})\b"
-    has_name = lambda c: F.arrays_overlap(F.split(c, " "), F.array(*[F.lit(n) for n in names]))
+    has_name = lambda c: F.arrays_overlap(F.split(c, " "), F.array(*[F.lit(n) for n in names])) if names else F.lit(False)
     person = ~label.rlike(company) & ~label.rlike(r"\bET\s+(?:FRERES|FILS)\b") & (F.size(F.split(label, " +")) >= 2) & has_name(label)
     rest = F.trim(F.regexp_replace(label, r"^(?:ETS|ETB|ETABLISSEMENTS?)\b\s*", ""))
     return person, (rest != "") & has_name(rest) & ~rest.rlike(company)
@@ -241,7 +240,7 @@ def to_public(resolved: DataFrame, tables: dict[str, DataFrame] | None) -> DataF
     return joined.withColumns({"value": F.when(hit, F.col("short_")).otherwise(F.col("value")), "method": F.when(hit, "PUBLIC_ENT").otherwise(F.col("method"))}).drop("official_", "short_")
 
 
-def local_entity(values: DataFrame, raw: str, tax_id: str | None, base: DataFrame, entities: DataFrame | None = None, memory=None, mapping: dict[str, str] | None = None, cache: DataFrame | None = None, order: str = "place", arbitrator=None) -> tuple[DataFrame, DataFrame]:
+def local_entity(values: DataFrame, raw: str, tax_id: str | None, base: DataFrame, entities: DataFrame | None = None, memory=None, mapping: dict[str, str] | None = None, cache: DataFrame | None = None, order: str = "place", arbitrator=None, names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Distinct (name, tax id) resolved against memory, mapping, the tax base and public entities.
 
     Returns the values with clean, value and method, and what was settled of each label that needed the tax base (k, v,
@@ -267,7 +266,7 @@ def local_entity(values: DataFrame, raw: str, tax_id: str | None, base: DataFram
         Table("NIF_EXACT", tax["id"], F.when(text.tax_id_valid(F.col("nif_")), F.col("nif_"))),
         Table("PUBLIC_ENT", public, clean),
         Rule(OUTLIER, obvious_noise(clean)),
-        *local_steps(clean),
+        *local_steps(clean, names),
     ]
     first = cut(resolve(prepared, steps, otherwise="pending"))
     pending = cut(first.where("method = 'pending'").select(F.col("clean").alias("label")).distinct())
@@ -296,7 +295,7 @@ def local_entity(values: DataFrame, raw: str, tax_id: str | None, base: DataFram
     return out, settled.select(F.col("label").alias("k"), F.col("value").alias("v"), "method")
 
 
-def foreign_entity(values: DataFrame, raw: str, entities: DataFrame | None = None, memory=None, mapping: dict[str, str] | None = None, order: str = "place") -> DataFrame:
+def foreign_entity(values: DataFrame, raw: str, entities: DataFrame | None = None, memory=None, mapping: dict[str, str] | None = None, order: str = "place", names: list[str] | None = None) -> DataFrame:
     """As far as it can be told without a resolver; the rest stays null."""
     spark = values.sparkSession
     r, clean, mapping = F.col(f"`{raw}`"), F.col("clean"), mapping or {}
@@ -311,13 +310,18 @@ def foreign_entity(values: DataFrame, raw: str, entities: DataFrame | None = Non
         Rule(OUTLIER, clean == "NA"),
         Table("PUBLIC_ENT", public, clean),
         Rule(OUTLIER, obvious_noise(clean)),
-        *local_steps(clean),
+        *local_steps(clean, names),
     ]
     return resolve(prepared, steps, otherwise=None)
 
 
 # ---- from distinct values to rows -----------------------------------------------------------------------------
 
+#: How each kind of field cleans a raw value: the key under which corrections are remembered.
+CLEANERS = {
+    "currency": text.clean_currency, "message_type": text.compact_key, "payment_mode": text.compact_key, "country": text.clean_country, "nature": text.clean_nature,
+    "correspondent": text.clean_correspondent, "product": text.clean_product, "local_entity": text.clean_label, "foreign_entity": text.clean_label,
+}
 RESOLVERS = {"currency": currency, "message_type": message_type, "payment_mode": payment_mode, "country": country, "nature": nature, "correspondent": correspondent, "product": product, "foreign_entity": foreign_entity}
 
 
@@ -345,10 +349,12 @@ def field(df: DataFrame, kind: str, raw: str, out: str, witness: str | None = No
     return rows
 
 
-def entity_field(df: DataFrame, raw: str, out: str, tax_id: str | None, base: DataFrame, witness: str | None = None, **options) -> DataFrame:
-    """df plus the columns of field() for a local entity, resolved by name and tax id together."""
+def entity_field(df: DataFrame, raw: str, out: str, tax_id: str | None, base: DataFrame, witness: str | None = None, settled: list | None = None, **options) -> DataFrame:
+    """df plus the columns of field() for a local entity, resolved by name and tax id together. settled gets what needed the base (k, v, method)."""
     keys = [raw, *([tax_id] if tax_id and tax_id in df.columns else [])]
-    resolved, _ = local_entity(distinct_values(df, *keys), raw, tax_id if tax_id in keys else None, base, **options)
+    resolved, found = local_entity(distinct_values(df, *keys), raw, tax_id if tax_id in keys else None, base, **options)
+    if settled is not None:
+        settled.append(found)
     method = f"{raw}_method"
     rows = attach(df, resolved, keys, out, method, {"clean": f"{raw}_clean"}).withColumn(f"{raw}_clean", F.coalesce(f"{raw}_clean", F.lit("")))
     if witness:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 import logging
 from collections.abc import Callable
@@ -9,15 +10,19 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import dictionaries as words
 from ..operators import fields as field_ops
-from ..operators import quality, report
+from ..operators import memory, quality, report, resolver
+from ..operators.cascade import cut
+from ..operators.fields import memory_table
 from ..operators.no_activity import add_global_witness
 from ..operators.validation import DueColumns, StatementColumns, TransactionColumns, validate_due_dates, validate_statements, validate_transactions
 from ..sources import config as conf
 from ..sources import sinks, tables
 from ..sources.files import read_file
+from ..sources.remember import Remembered
 from ..sources.state import StateStore, advanced
 
 log = logging.getLogger("dqloom")
@@ -32,6 +37,30 @@ class FieldResult:
     mapping: DataFrame | None = None
     outliers: DataFrame | None = None
     anomalies: DataFrame | None = None
+    verdicts: list[DataFrame] = field(default_factory=list)
+    matches: list[DataFrame] = field(default_factory=list)
+    fingerprint: str | None = None
+
+
+def _asker(block: dict, client: Callable, told: list) -> Callable:
+    """The resolver of a field: asks about what is left open; told gets the answers, asked once."""
+    settings = block.get("resolver") or {}
+    chosen = resolver.Options(**{k: int(settings[k]) for k in ("batch", "concurrency", "most") if k in settings})
+
+    def run(resolved: DataFrame, raw: str) -> DataFrame:
+        left = (F.col("method").isNull() & (F.col("clean") != "")) | (F.col("method") == "check")
+        pending = resolved.where(left).select(F.col(f"`{raw}`").alias("value"))
+        answers = cut(resolver.ask(pending, client, settings.get("labels"), chosen))
+        told.append(answers)
+        return resolver.settle(resolved, raw, answers)
+
+    return run
+
+
+def _named(path: str) -> Callable:
+    """The function that "module:function" names."""
+    module, _, name = path.partition(":")
+    return getattr(importlib.import_module(module), name)
 
 
 def _categorical(df: DataFrame, name: str, block: dict, options: dict) -> tuple[DataFrame, FieldResult]:
@@ -43,12 +72,27 @@ def _categorical(df: DataFrame, name: str, block: dict, options: dict) -> tuple[
     given = words.options_from(kind, words.load_json(block["dictionary"]), flow) if block.get("dictionary") else {}
     if block.get("memory"):
         given["memory"] = words.memory_from(block["memory"])
-    given |= dict(block.get("options") or {}) | options.get(name, {})
+    own = dict(options.get(name, {}))
+    store, client = own.pop("remembered", None), own.pop("client", None)
+    given |= dict(block.get("options") or {}) | own
+    if store is not None:  # what was validated by hand, in the file, comes before what was remembered
+        written = memory_table(given.get("memory"), df.sparkSession).select("k", "v")
+        given["memory"] = cut(written.unionByName(store.memory(name).join(written.select("k"), "k", "left_anti").select("k", "v")))
+    result = FieldResult(name, block)
+    if client is None and (block.get("resolver") or {}).get("client"):
+        client = _named(block["resolver"]["client"])
     if kind == "local_entity":
-        rows = field_ops.entity_field(df, raw, out, block.get("tax_id"), witness=block.get("witness"), **given)
+        if store is not None:
+            result.fingerprint = memory.base_fingerprint(given["base"])
+            given["cache"] = cut(store.matches(name, result.fingerprint))
+        if client is not None:
+            given["arbitrator"] = lambda near: resolver.arbitrate(near, client)
+        rows = field_ops.entity_field(df, raw, out, block.get("tax_id"), witness=block.get("witness"), settled=result.matches, **given)
     else:
-        rows = field_ops.field(df, kind, raw, out, block.get("witness"), block.get("categories"), **given, **({"flow": flow} if kind == "message_type" else {}))
-    return rows, FieldResult(name, block, quality.classification(rows, raw, out), quality.outlier_stats(rows, raw, out, block.get("bank", "RefBanque")))
+        asker = _asker(block, client, result.verdicts) if client is not None else None
+        rows = field_ops.field(df, kind, raw, out, block.get("witness"), block.get("categories"), asker, **given, **({"flow": flow} if kind == "message_type" else {}))
+    result.mapping, result.outliers = quality.classification(rows, raw, out), quality.outlier_stats(rows, raw, out, block.get("bank", "RefBanque"))
+    return rows, result
 
 
 def _columns(cls, block: dict):
@@ -75,15 +119,26 @@ class Run:
     sheets: dict[str, DataFrame]
     reports: dict[str, str] = field(default_factory=dict)
     mode: str = "file"
+    news: DataFrame | None = None
+    mappings: dict[str, DataFrame] = field(default_factory=dict)
 
 
 class Endpoint:
-    """One configured endpoint. preprocess may add columns before the fields see the rows; options has dictionaries per field."""
+    """One configured endpoint. preprocess may add columns before the fields see the rows; options has dictionaries per field.
+
+    remember, a folder in the configuration, holds what runs over a source remember: verdicts of the resolvers (clients, by field, or
+    resolver.client of a field as "module:function"), matches against the name base and every mapping. reports may add reports of a run.
+    """
 
-    def __init__(self, spark: SparkSession, config: dict, state: StateStore | None = None, outlets: sinks.Outlets | None = None, preprocess: Callable[[DataFrame], DataFrame] | None = None, options: dict | None = None):
+    def __init__(
+        self, spark: SparkSession, config: dict, state: StateStore | None = None, outlets: sinks.Outlets | None = None, preprocess: Callable[[DataFrame], DataFrame] | None = None, options: dict | None = None,
+        clients: dict[str, Callable] | None = None, reports: Callable[[Run], dict[str, str]] | None = None,
+    ):
         conf.validate_config(config, {*field_ops.RESOLVERS, "local_entity"})
         self.spark, self.config, self.state = spark, config, state
         self.outlets, self.options = outlets or sinks.Outlets(), options or {}
+        self.clients, self.report_hook = clients or {}, reports
+        self.remembered = Remembered(spark, config["remember"], config["api_id"]) if config.get("remember") else None
         self.preprocess = preprocess or self._witness
 
     def _witness(self, df: DataFrame) -> DataFrame:
@@ -109,7 +164,8 @@ class Endpoint:
         blocks = {n: b for n, b in self.config["fields"].items() if names is None or n in names}
         rows, results = df, []
         for name, block in sorted(blocks.items(), key=lambda x: x[1]["type"] != "categorical"):
-            rows, result = BUILDERS[block["type"]](rows, name, block, self.options)
+            own = {k: v for k, v in (("remembered", self.remembered), ("client", self.clients.get(name))) if v is not None and block["type"] == "categorical"}
+            rows, result = BUILDERS[block["type"]](rows, name, block, {**self.options, name: {**self.options.get(name, {}), **own}} if own else self.options)
             results.append(result)
         return rows, results
 
@@ -129,6 +185,10 @@ class Endpoint:
             run = self._measured(self.preprocess(raw), resolved_mode, started)
             folder = out or sinks.output_dir(self.config.get("output_base"), api, self.config.get("local_dir", f"out/{api}"), offline)
             sinks.write_workbook(run.sheets, folder)
+            for name, body in run.reports.items():
+                sinks.write_text(self.spark, body, f"{folder.rstrip('/')}/{name}.md")
+            if self.remembered and not offline:
+                self._remember(run)
             one = run.indicators.first()
             latest = tables.max_created(raw, self.config.get("dt_cr_col", "dtCr"))
             if not dry and not offline:
@@ -136,7 +196,7 @@ class Endpoint:
             if self.state and not offline:
                 self.state.write(advanced(self.state.read(api), True, resolved_mode, one["n_rows"], one["n_outlier_rows"], latest, started))
             if not dry and not offline:
-                self.outlets.tell("OK", one.asDict())
+                self.outlets.tell("OK", one.asDict() | (run.news.first().asDict() if run.news is not None else {}))
             return run
         except Exception as error:
             log.exception("run of %s failed", api)
@@ -147,6 +207,13 @@ class Endpoint:
                     self.outlets.tell("KO", error=error)
             raise
 
+    def _remember(self, run: Run) -> None:
+        """After the outputs and before the state: verdicts, matches that hold for this base, and what every value maps to."""
+        self.remembered.save("memory", {r.name: resolver.remembered(a) for r in run.results for a in r.verdicts})
+        matches = {r.name: memory.cacheable_matches(m.withColumnsRenamed({"k": "clean", "v": "value"})).select(F.lit(r.fingerprint).alias("fingerprint"), "k", "v", "method") for r in run.results for m in r.matches}
+        self.remembered.save("matches", matches)
+        self.remembered.save("mappings", run.mappings)
+
     def _measured(self, df: DataFrame, mode: str, started: datetime) -> Run:
         rows, results = self.process(df)
         rows = rows.persist()  # indicators, sheets and reports read it
@@ -156,10 +223,14 @@ class Endpoint:
         for a in found:
             anomalies = a if anomalies is None else anomalies.unionByName(a, allowMissingColumns=True)
         indicators = quality.run_indicators(rows, list(outs.values()))
-        mappings = [(r.mapping, r.block["col_in"], r.block["field_out"]) for r in results if r.mapping is not None]
+        own = {r.name: r.mapping.select(F.col(f"`{r.block['col_in']}`").cast("string").alias("raw"), F.col(f"`{r.block['field_out']}`").alias("value")) for r in results if r.mapping is not None}
+        # All that earlier runs have mapped, this run's values in place of theirs; over files a run is its own history.
+        whole = {n: cut(memory.upsert(self.remembered.mapping(n), m.dropDuplicates(["raw"]), ["raw"])) if self.remembered and mode != "file" else m for n, m in own.items()}
         empty = self.spark.createDataFrame([], "raw string, out string")
-        history = quality.cumulative_stats(mappings or [(empty, "raw", "out")])
-        sheets = {f"mapping_{r.name}": r.mapping for r in results if r.mapping is not None}
+        history = quality.cumulative_stats([(m, "raw", "value") for m in whole.values()] or [(empty, "raw", "out")])
+        sheets = {f"mapping_{r.name}": whole[r.name].select(F.col("raw").alias(r.block["col_in"]), F.col("value").alias(r.block["field_out"])) for r in results if r.mapping is not None}
+        created = self.config.get("dt_cr_col", "dtCr")
+        news = [quality.new_values(rows, r.block["col_in"], r.block["field_out"], [created] if created in rows.columns else [r.block["col_in"]]) for r in results if r.mapping is not None]
         for r in results:
             if r.anomalies is not None:
                 capped, whole = sinks.cap_anomalies(r.anomalies, r.anomalies.columns, int((self.config.get("reports") or {}).get("max_anomaly_rows_excel", sinks.ANOMALY_ROWS)))
@@ -178,7 +249,13 @@ class Endpoint:
             top = int((self.config.get("reports") or {}).get("top_n_outliers_detail", 100))
             known = detail.select("bank").distinct().count()
             reports["outliers"] = report.outlier_markdown(self.config["api_id"], mode, started, synthesis, quality.top_banks(detail, top), min(top or known, known), known)
-        return Run(rows, results, indicators, history, sheets, reports, mode)
+        run = Run(rows, results, indicators, history, sheets, reports, mode, mappings=own)
+        if news:
+            errors = sum(r.anomalies.where("Severity = 'ERROR'").count() for r in results if r.anomalies is not None)
+            run.news = quality.mail_counters(news, errors)
+        if self.report_hook is not None:
+            run.reports |= self.report_hook(run)
+        return run
 
     def extract(self, df: DataFrame) -> DataFrame:
         """Ad-hoc: the fields that apply, results beside their raw columns. The witness hook runs here too when its inputs exist."""

@@ -21,16 +21,52 @@ def _fs(spark: SparkSession, path: str):
 
 
 def swap_in(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> None:
-    """Write beside path, then take its place: readers see the old or the new table, and df may read the old one."""
+    """Write beside path, then take its place; df may read the old table.
+
+    The old table is renamed aside before the new one is renamed in, and deleted last, so a crash at any point leaves one of them
+    whole: recover() puts an old one back whose place is empty. Between the two renames readers find nothing.
+    """
     spark = df.sparkSession
-    stage = f"{path.rstrip('/')}.stage-{uuid.uuid4().hex[:8]}"
+    mark = uuid.uuid4().hex[:8]
+    stage, aside = (f"{path.rstrip('/')}.{kind}-{mark}" for kind in ("stage", "old"))
     write(df, stage)
     fs, place = _fs(spark, path)
-    _, staged = _fs(spark, stage)
     fs.mkdirs(place.getParent())
-    fs.delete(place, True)
-    if not fs.rename(staged, place):
+    moved = fs.exists(place)
+    if moved and not fs.rename(place, _fs(spark, aside)[1]):
+        raise OSError(f"{path} couldn't be renamed")
+    if not fs.rename(_fs(spark, stage)[1], place):
+        if moved:
+            fs.rename(_fs(spark, aside)[1], place)
         raise OSError(f"{stage} couldn't be renamed to {path}")
+    if moved:
+        fs.delete(_fs(spark, aside)[1], True)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Whether a table that a crash left aside was put back in its empty place."""
+    fs, place = _fs(spark, path)
+    if fs.exists(place):
+        return False
+    left = fs.globStatus(_fs(spark, f"{path.rstrip('/')}.old-*")[1]) or []
+    return bool(left) and fs.rename(max(left, key=lambda x: x.getModificationTime()).getPath(), place)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table, one left aside by a crash included."""
+    recover(spark, path)
+    fs, place = _fs(spark, path)
+    return fs.exists(place)
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small text in one file."""
+    fs, place = _fs(spark, path)
+    stream = fs.create(place, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -50,8 +86,14 @@ def split_sheets(df: DataFrame, name: str, order: list[str], rows: int = SHEET_R
     count = df.count()
     if count <= rows:
         return {name: df}
-    ordered = df.orderBy(*order).rdd.zipWithIndex().map(lambda x: (x[1], x[0]))
-    numbered = df.sparkSession.createDataFrame(ordered.map(lambda x: (x[0], *x[1])), f"row_ bigint, {', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}")
+    ordered = df.orderBy(*order).withColumns({"part_": F.spark_partition_id(), "at_": F.monotonically_increasing_id()}).persist()
+    sizes = sorted((r["part_"], r["count"]) for r in ordered.groupBy("part_").count().collect())
+    before, bases = 0, []
+    for part, size in sizes:
+        bases.append((part, before))
+        before += size
+    base = F.broadcast(df.sparkSession.createDataFrame(bases, "part_ int, base_ bigint"))
+    numbered = ordered.join(base, "part_").withColumn("row_", F.col("base_") + F.col("at_") % F.lit(1 << 33)).drop("part_", "at_", "base_")
     return {name if i == 0 else f"{name}_{i + 1}": numbered.where((F.col("row_") >= i * rows) & (F.col("row_") < (i + 1) * rows)).drop("row_") for i in range(-(-count // rows))}
 
 

@@ -47,7 +47,7 @@ def test_country_names_come_from_the_locale_data(spark):
 
 
 def test_nature_product_correspondent(spark):
-    got = resolved(spark, "nature", ["Fret", "divers", "NA", "", "Ahmed Ould", "12345", "Voyages", "???", "something else"])
+    got = resolved(spark, "nature", ["Fret", "divers", "NA", "", "Ahmed Ould", "12345", "Voyages", "???", "something else"], names=["AHMED"])
     assert got == {"Fret": ("TRANSPORT MARITIME", "MAP"), "divers": ("OUTLIER", "NOISE"), "NA": ("OUTLIER", "OUTLIER"), "": (None, None), "Ahmed Ould": ("OUTLIER", "NOISE"), "12345": ("OUTLIER", "NOISE"), "Voyages": ("VOYAGES", "MAP"), "???": ("OUTLIER", "NOISE"), "something else": (None, None)}
     assert resolved(spark, "product", ["riz", "diesel", "NA", "TEST", "x"]) == {"riz": ("RIZ", "MAP_CIBLE"), "diesel": ("GASOIL", "MAP"), "NA": ("OUTLIER", "OUTLIER"), "TEST": ("OUTLIER", "NOISE"), "x": (None, None)}
     mapping = {"Natixis Paris": "NATIXIS"}
@@ -67,7 +67,7 @@ def test_local_entity_branches(spark):
     base, public = entities(spark)
     rows = [("Anything", "00-00-00-17"), ("societe alpha s.a.r.l", None), ("SOMELEC Nouakchott", None), ("Mohamed Ould Ahmed", None), ("ETS Mohamed Salem", None), ("ETS du Nord", None), ("12345", None), ("NA", None), (" ", None), ("BETA INDUSTRIE", "11111111"), ("zzzz qqqq wwww", None), ("Sam Trading Monaco", None), ("KNOWN", None), ("Final Name", None), ("ALI ET FILS", None), ("GAMMA TRADE CO", None), ("SOC MAURITANIENNE ELECTRICITE", None)]
     df = spark.createDataFrame(rows, "n string, t string")
-    out, settled = fields.local_entity(df, "n", "t", base, public, memory={"KNOWN": "REMEMBERED"}, mapping={"x": "Final Name"})
+    out, settled = fields.local_entity(df, "n", "t", base, public, memory={"KNOWN": "REMEMBERED"}, mapping={"x": "Final Name"}, names=["MOHAMED"])
     got = {r.n: (r.value, r.method) for r in out.collect()}
     assert got["Anything"] == ("Société Alpha SARL", "NIF_EXACT") and got["societe alpha s.a.r.l"] == ("Société Alpha SARL", "DGI_EXACT_NORM")
     assert got["SOMELEC Nouakchott"] == ("SOMELEC", "PUBLIC_ENT") and got["Mohamed Ould Ahmed"] == ("MOHAMED OULD AHMED", "PARTICULIER")
@@ -77,7 +77,7 @@ def test_local_entity_branches(spark):
     assert got["GAMMA TRADE CO"] == ("OUTLIER", "OUTLIER")  # near a name, and nobody to ask
     cache = memory.cacheable_matches(settled.select(F.col("k").alias("clean"), F.col("v").alias("value"), "method"))
     assert {r.k for r in cache.collect()} >= {"ZZZZ QQQQ WWWW", "BETA INDUSTRIE"} and "GAMMA TRADE CO" not in {r.k for r in cache.collect()}
-    again, _ = fields.local_entity(df, "n", "t", base, public, memory={"KNOWN": "REMEMBERED"}, mapping={"x": "Final Name"}, cache=cache)
+    again, _ = fields.local_entity(df, "n", "t", base, public, memory={"KNOWN": "REMEMBERED"}, mapping={"x": "Final Name"}, cache=cache, names=["MOHAMED"])
     assert {r.n: (r.value, r.method) for r in again.collect()} == got
 
 

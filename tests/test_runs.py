@@ -200,3 +200,65 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert cli.main(["ad-hoc", "--config", str(tmp_path / "c.yaml"), "--table", str(tmp_path / "t"), "--query", "SELECT * FROM {source} WHERE RefBanque = 'B1'", "--output", str(tmp_path / "x.csv")]) == 0
     assert cli.main(["all", str(tmp_path / "missing.yaml"), str(tmp_path / "c.yaml")]) == 1
     assert cli.main(["probe", "--table", str(tmp_path / "t"), "--created", "dtCr"]) == 0
+
+
+def test_runs_remember_matches_verdicts_and_mappings(spark, tmp_path):
+    base = spark.createDataFrame([("", "ALPHA TRADING COMPANY", 0), ("", "BETA SERVICES GENERAUX", 1)], "NIF string, RAISON_SOCIALE string, place int")
+    config = {
+        "api_id": "T2", "dt_cr_col": "dtCr", "remember": str(tmp_path / "m"),
+        "fields": {
+            "nature": {"type": "categorical", "kind": "nature", "col_in": "Nature", "field_out": "Nature_N", "resolver": {"labels": ["SALAIRES"]}},
+            "local": {"type": "categorical", "kind": "local_entity", "col_in": "Nom", "field_out": "Nom_N"},
+        },
+    }
+    calls, told = spark.sparkContext.accumulator(0), []
+
+    def client(values):
+        calls.add(len(values))
+        return "\n".join(f"{i}. {'SALAIRES' if 'PAYE' in v.upper() else 'OUTLIER'}" for i, v in enumerate(values, 1))
+
+    rows = [(datetime(2024, 1, 1), "paye du mois", "Alpha Trading Company"), (datetime(2024, 1, 1), "qwerty uiop", "Beta Service Generaux"), (datetime(2024, 1, 2), "paye du mois", "Alpha Trading Company"), (datetime(2024, 1, 2), "SALAIRES", "Gamma Inconnue Zzz")]
+    df = spark.createDataFrame(rows, "dtCr timestamp, Nature string, Nom string")
+    endpoint = Endpoint(spark, config, StateStore(str(tmp_path / "s")), sinks.Outlets(notify=told.append), options={"local": {"base": base}}, clients={"nature": client}, reports=lambda run: {"own": f"{run.mode}"})
+    first = endpoint.run(df.where("dtCr < '2024-01-02'"), out=str(tmp_path / "o"))
+    asked = calls.value
+    assert asked == 2 and first.history.first().n_distinct_total == 4
+    store = endpoint.remembered
+    assert {(r.k, r.v) for r in store.memory("nature").collect()} == {("paye du mois", "SALAIRES"), ("qwerty uiop", "OUTLIER")}
+    kept = {r.k: r.method for r in store.matches("local", memory.base_fingerprint(base)).collect()}
+    assert kept == {"ALPHA TRADING COMPANY": "DGI_EXACT_NORM", "BETA SERVICE GENERAUX": "DGI_FUZZY_STRONG"} and store.matches("local", "other").count() == 0
+    second = endpoint.run(df, out=str(tmp_path / "o"))
+    assert calls.value == asked  # what was told isn't asked again
+    assert {(r.Nature, r.Nature_N, r.Nature_method) for r in second.rows.collect()} == {("paye du mois", "SALAIRES", "WARM"), ("SALAIRES", "SALAIRES", "MAP")}
+    assert second.rows.count() == 2 and second.history.first().n_distinct_total == 6
+    assert {r.Nature for r in spark.read.parquet(str(tmp_path / "o" / "mapping_nature")).collect()} == {"paye du mois", "qwerty uiop", "SALAIRES"}
+    assert (tmp_path / "o" / "quality.md").exists() and (tmp_path / "o" / "own.md").read_text() == "incremental"
+    assert told[0]["counters"]["n_new_distinct"] >= 2 and "n_numeric_errors" in told[0]["counters"]
+
+
+def test_corrections_are_keyed_by_the_field_s_cleaner(spark, tmp_path):
+    config = {"api_id": "T3", "remember": str(tmp_path / "m"), "fields": {"local": {"type": "categorical", "kind": "foreign_entity", "col_in": "Nom", "field_out": "Nom_N"}}}
+    sheet = spark.createDataFrame([("local", "Société. Épsilon", "epsilon"), ("nope", "x", "y"), ("local", "", "z")], "Champ string, Input string, Label_Attendu string")
+    assert cli.apply_corrections(spark, config, sheet) == ["nope"]
+    df = spark.createDataFrame([("SOCIETE EPSILON",), ("société. épsilon",)], "Nom string")
+    rows, _ = Endpoint(spark, config).process(df)
+    assert {(r.Nom_N, r.Nom_method) for r in rows.collect()} == {("EPSILON", "WARM")}
+    assert spark.read.parquet(str(tmp_path / "m" / "history")).count() == 3 and cli.apply_corrections(spark, config, sheet) == ["nope"]
+    assert spark.read.parquet(str(tmp_path / "m" / "history")).count() == 3
+
+
+def test_late_bytes_decide_the_encoding_and_sheets_keep_their_order(spark, tmp_path):
+    path = tmp_path / "late.csv"
+    path.write_bytes(b"a;b\n" + b"plain;line\n" * 9000 + "Société;été\n".encode("cp1252"))
+    assert files.read_csv(spark, str(path)).where("a = 'Société' and b = 'été'").count() == 1
+    sheets = sinks.split_sheets(spark.range(0, 1000, 1, 7).withColumnRenamed("id", "n"), "s", ["n"], 300)
+    assert [sorted(r.n for r in d.collect()) for d in sheets.values()] == [list(range(i, min(1000, i + 300))) for i in range(0, 1000, 300)] and list(sheets) == ["s", "s_2", "s_3", "s_4"]
+
+
+def test_a_table_left_aside_comes_back(spark, tmp_path):
+    place = str(tmp_path / "t")
+    sinks.write_table(spark.range(3), place)
+    sinks.write_table(spark.read.parquet(place).where("id > 0"), place)
+    assert spark.read.parquet(place).count() == 2
+    (tmp_path / "t").rename(tmp_path / "t.old-1234")
+    assert sinks.exists(spark, place) and spark.read.parquet(place).count() == 2 and not sinks.recover(spark, place)
