@@ -6,6 +6,7 @@ independently in randomised groups of pieces; sequences never cross groups.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,6 +46,7 @@ class WordIds:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and the library's threads never give their memory back
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = Tokenizer(self.tokenizer.model)  # for a pre-token that is normalised already
         self.letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -189,8 +191,6 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
         encoder.clear()  # the worker lives on
-        _word_ids.cache_clear()
-        del encoder
         tidy()
 
     return source.mapInArrow(run, schema)
