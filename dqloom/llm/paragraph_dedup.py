@@ -53,7 +53,8 @@ class Paragraphs:
             stops = (last == ord(".")) | (last == ord("!")) | (last == ord("?"))
             begins = np.ones(n, bool)
             begins[1:] = (stops & (w.hash & np.uint64(3) == 0))[:-1] | (lines[1:] != lines[:-1]) | (w.row[1:] != w.row[:-1])
-            begins[2:] |= (w.grams(2)[0] & np.uint64(63) == 0)[:-2]
+            two, fits = w.grams(2)  # pairs of one row alone, so a text is cut alike whatever stands beside it in a slice
+            begins[2:] |= (fits & (two & np.uint64(63) == 0))[:-2]
             start = np.flatnonzero(begins)
             end = np.append(start[1:], n)
         long = end - start >= WORDS_LEAST

@@ -158,3 +158,14 @@ def test_hot_lines_repeated_rows_null_keys_long_texts_and_empty_tables(spark):
     assert len(got) == 65 and all(r.has_repeat for r in got)
     assert sorted(r.removed_words for r in got if r.doc_id == 3)[0] == 0 and sum(r.removed_words == 0 for r in got if r.doc_id not in (8, 9)) == 1
     assert paragraph_dedup.repeated_passages(df.limit(0)).count() == 0 and paragraph_dedup.without_passages(df.limit(0)).count() == 0
+
+
+def test_a_text_is_cut_alike_whatever_stands_beside_it():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, rng.integers(1, 90))) for _ in range(600)]
+    together = Paragraphs(pa.array(texts))
+    begins = together.words.offsets[together.row]
+    for row, text in enumerate(texts):
+        alone, mine = Paragraphs(pa.array([text])), together.row == row
+        assert alone.start.tolist() == (together.start - begins)[mine].tolist()
+        assert alone.digest.tolist() == together.digest[mine].tolist()
