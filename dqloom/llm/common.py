@@ -45,18 +45,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes written tables that nothing will read again, as all that was made from them is written itself.
-
-    The driver's garbage goes too, so Spark drops the shuffle files of the jobs that are done.
-    """
+    """Deletes written tables that nothing will read again, as all that was made from them is written itself."""
     for df in tables:
         spark = df.sparkSession
         for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if path.split("/")[-2].startswith("dqloom-"):
                 at = spark._jvm.org.apache.hadoop.fs.Path(path)
                 at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Frees the driver's garbage, so Spark drops the shuffle files of tables that have been written since."""
     gc.collect()
-    tables[0].sparkSession._jvm.System.gc()
+    spark._jvm.System.gc()
 
 
 def tidy() -> None:

@@ -22,7 +22,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, NON_SPACE, Words, _powers, bounded_batches, discard, fresh, mix64, text_slices, tidy, written
+from .common import BROADCAST_ROWS, NON_SPACE, Words, _powers, bounded_batches, discard, fresh, mix64, release, text_slices, tidy, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -182,7 +182,10 @@ def _fits(a: str, b: str, percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of digests whose paragraphs' shingle sets reach the threshold."""
+    """The pairs (a, b) of digests whose paragraphs' shingle sets reach the threshold; sets without a pair aren't moved."""
+    met = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+    few = pairs.count() <= BROADCAST_ROWS // 2
+    arrays = arrays.join(F.broadcast(met) if few else met.hint("merge"), "digest", "left_semi")
     both = pairs.join(arrays.select(F.col("digest").alias("a"), F.col("shingles").alias("sa")), "a").join(arrays.select(F.col("digest").alias("b"), F.col("shingles").alias("sb")), "b")
     overlap = F.size(F.array_intersect("sa", "sb"))
     return written(both.where(100 * overlap >= percent * (F.size("sa") + F.size("sb") - overlap)).select("a", "b"), "verified")
@@ -194,9 +197,12 @@ def clusters(source: DataFrame, documents: DataFrame, paras: DataFrame, percent:
         F.count("*").alias("n"), F.min("row").alias("low"), F.max("row").alias("high"), F.min(F.struct("row", "start")).alias("place"), *(F.first(c).alias(c) for c in ("size", *MINIMA, *BITS)),
     )
     kinds = written(kinds, "kinds")
+    release(source.sparkSession)
     bands = kinds.select(F.explode(F.array(*MINIMA)).alias("band"), "digest").repartition("band")  # dealt once for both uses
     met = bands.groupBy("band").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high").select("band")
     pairs_of = written(bands.join(met, "band"), "met")
+    del bands, met
+    release(source.sparkSession)
     marks = kinds.select("digest", "n", "size", *BITS)
     cells = written(pairs_of.join(marks, "digest").select("band", F.struct("n", "digest", "size", *BITS).alias("me")), "cells")
 
@@ -209,7 +215,7 @@ def clusters(source: DataFrame, documents: DataFrame, paras: DataFrame, percent:
     state = cells.withColumn("component", F.col("me.digest")).withColumn("led", F.lit(False))
     for turn in range(HUBS):
         hubs = state.where("not led").groupBy("band").agg(F.max(F.struct("me", "component")).alias("top")).select("band", F.col("top.me").alias("hub"), F.col("top.component").alias("hub_component"))
-        pairs = state.join(hubs, "band").where((F.col("component") != F.col("hub_component")) & _fits("hub", "me", percent)).select(F.least("hub.digest", "me.digest").alias("a"), F.greatest("hub.digest", "me.digest").alias("b")).distinct()
+        pairs = state.join(hubs.hint("merge"), "band").where((F.col("component") != F.col("hub_component")) & _fits("hub", "me", percent)).select(F.least("hub.digest", "me.digest").alias("a"), F.greatest("hub.digest", "me.digest").alias("b")).distinct()
         pairs = written(pairs if before is None else pairs.join(before, ["a", "b"], "left_anti"), "pairs")
         before = pairs if before is None else before.unionByName(pairs)
         links = verified(pairs, arrays, percent) if links is None else links.unionByName(verified(pairs, arrays, percent))
@@ -221,8 +227,9 @@ def clusters(source: DataFrame, documents: DataFrame, paras: DataFrame, percent:
         named = named.select("band", "me", "component", (F.col("led") | (F.col("component") == F.coalesce("hub_component", "hub_digest"))).alias("led"))
         mixed = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
         state = written(named.join(mixed, "band"), f"open{turn}")
+        release(source.sparkSession)
     l, r = state.alias("l"), state.alias("r")
-    rest = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.me.digest") < F.col("r.me.digest")) & (F.col("l.component") != F.col("r.component")) & _fits("l.me", "r.me", percent))
+    rest = l.join(r.hint("merge"), (F.col("l.band") == F.col("r.band")) & (F.col("l.me.digest") < F.col("r.me.digest")) & (F.col("l.component") != F.col("r.component")) & _fits("l.me", "r.me", percent))
     rest = written(rest.select(F.col("l.me.digest").alias("a"), F.col("r.me.digest").alias("b")).distinct().join(before, ["a", "b"], "left_anti"), "rest")
     whole = components(links.unionByName(verified(rest, arrays, percent)))
     named = kinds.select("digest", "low", "high").join(whole.withColumnRenamed("node", "digest"), "digest", "left").where("component is not null or low < high").withColumn("component", F.coalesce("component", "digest"))
@@ -243,7 +250,7 @@ def _with_stays(marks: DataFrame) -> DataFrame:
     """marks and whether each is the first place of its component: of the smallest key, nulls last."""
     first = marks.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "start")).alias("first"))
     first = written(first.select("component", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")), "firsts")
-    return marks.join(first, "component").select("row", "key", "start", "words", "component", "kind", ((F.col("first_row") == F.col("row")) & (F.col("first_start") == F.col("start"))).alias("stays"))
+    return marks.join(first.hint("merge"), "component").select("row", "key", "start", "words", "component", "kind", ((F.col("first_row") == F.col("row")) & (F.col("first_start") == F.col("start"))).alias("stays"))
 
 
 def _stretches(marks: DataFrame) -> DataFrame:
@@ -301,6 +308,7 @@ def judged_documents(source: DataFrame, percent: int, passage: int) -> DataFrame
     # What runs cover of a passage may fall short of its edges: there all windows around the runs are compared, in every document that has such a run.
     short = _stretches(marks.select("row", "start", "words", "component", "kind")).where((F.col("until") - F.col("since") < passage) & (F.col("kind") == "run")).select("row", "component")
     short = written(short, "short")
+    release(source.sparkSession)
     around = marks.where("kind = 'run'").join(short.select("component").distinct(), "component").select("row", "start").distinct()
     windows = written(windows_around(source, documents, around, passage), "windows")
     shared = _shared(windows).select("row", "key", "start", "words", "component", F.lit("run").alias("kind"))
