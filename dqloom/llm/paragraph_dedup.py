@@ -294,7 +294,8 @@ def judged_documents(source: DataFrame, percent: int, passage: int) -> DataFrame
     documents = units.groupBy("key", "address").agg(F.min("row").alias("row"), F.count("*").alias("times"), F.first("n_words").alias("n_words"))
     documents = written(documents, "documents")
     again = documents.where("times > 1").select(F.col("key").alias("k"), F.col("address").alias("m"), F.col("row").alias("r"))
-    units = units.join(again, F.col("key").eqNullSafe(F.col("k")) & (F.col("address") == F.col("m")) & (F.col("row") != F.col("r")), "left_anti")
+    few = again.count() <= BROADCAST_ROWS  # then the units, three times read, aren't shuffled
+    units = units.join(F.broadcast(again) if few else again, F.col("key").eqNullSafe(F.col("k")) & (F.col("address") == F.col("m")) & (F.col("row") != F.col("r")), "left_anti")
     runs = units.select("row", "key", F.explode("runs").alias("x")).select("row", "key", "x.start", F.lit(RUN).cast("long").alias("words"), "x.digest")
     paras = units.select("row", "key", F.explode("paras").alias("x")).select("row", "key", "x.*")
     grouped = clusters(source, documents, paras, percent)
