@@ -30,6 +30,7 @@ BANDS, ROWS = 10, 3  # a pair at 0.8 collides in some band with 1 - (1 - 0.8 **
 WORDS_LEAST = 20  # words of a paragraph that is compared; shorter ones are left to runs
 PASSAGE = 50  # words of a repeated passage, at least
 RUN, WINDOW = 25, 25  # words of a run that is compared wherever it stands, and runs of which one is chosen
+ADDRESS_ROWS = 4_000_000  # hashes of texts (8 bytes each) that may be broadcast, so only the texts asked for are shuffled
 HUBS = 2  # rounds in which paragraphs of a band meet one of them, before pairs of what is still apart
 RUN_SALT, WINDOW_SALT = np.uint64(0x9FB21C651E98DF25), np.uint64(0xA24BAED4963EE407)
 SALTS = [0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(BANDS * ROWS)]
@@ -151,7 +152,10 @@ def _texts(source: DataFrame, places: DataFrame, documents: DataFrame) -> DataFr
     """row, key, starts (a list) and text of the documents of places: row and start."""
     starts = places.groupBy("row").agg(F.collect_list("start").alias("starts"))
     targets = written(starts.join(documents.select(F.col("key").alias("key_"), F.col("address").alias("address_"), "row"), "row"), "targets")
-    small = (targets.agg(F.sum(F.size("starts"))).first()[0] or 0) <= BROADCAST_ROWS
+    n_places, n_texts = targets.agg(F.coalesce(F.sum(F.size("starts")), F.lit(0)), F.count("*")).first()
+    small = n_places <= BROADCAST_ROWS
+    if not small and n_texts <= ADDRESS_ROWS:  # else all texts meet their places by a shuffle
+        source = source.join(F.broadcast(targets.select(F.col("address_").alias("wanted_"))), F.col("address") == F.col("wanted_"), "left_semi")
     found = source.join(F.broadcast(targets) if small else targets, F.col("key").eqNullSafe(F.col("key_")) & (F.col("address") == F.col("address_")))
     return found.select("row", "key", "starts", "text")
 
@@ -205,6 +209,7 @@ def clusters(source: DataFrame, documents: DataFrame, paras: DataFrame, percent:
     release(source.sparkSession)
     marks = kinds.select("digest", "n", "size", *BITS)
     cells = written(pairs_of.join(marks, "digest").select("band", F.struct("n", "digest", "size", *BITS).alias("me")), "cells")
+    discard(pairs_of)
 
     # The sets of paragraphs that meet another, made once from the texts they first stand in.
     places = kinds.join(cells.select("me.digest").distinct(), "digest", "left_semi").select("place.row", "place.start")
@@ -220,11 +225,10 @@ def clusters(source: DataFrame, documents: DataFrame, paras: DataFrame, percent:
         before = pairs if before is None else before.unionByName(pairs)
         links = verified(pairs, arrays, percent) if links is None else links.unionByName(verified(pairs, arrays, percent))
         whole = components(links)
-        named = state.drop("component").join(hubs.select("band", F.col("hub.digest").alias("hub_digest")), "band", "left").withColumn("digest", F.col("me.digest"))
-        label = whole.withColumnRenamed("node", "digest")
-        named = named.join(label, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-        named = named.join(label.select(F.col("digest").alias("hub_digest"), F.col("component").alias("hub_component")), "hub_digest", "left")
-        named = named.select("band", "me", "component", (F.col("led") | (F.col("component") == F.coalesce("hub_component", "hub_digest"))).alias("led"))
+        # The few hubs get their component before they meet their band, so what is apart moves by digest and by band, once each.
+        leaders = hubs.select("band", F.col("hub.digest").alias("node")).join(whole, "node", "left").select("band", F.coalesce("component", "node").alias("leader"))
+        named = state.drop("component").withColumn("digest", F.col("me.digest")).join(whole.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+        named = named.join(leaders, "band", "left").select("band", "me", "component", (F.col("led") | (F.col("component") == F.col("leader"))).alias("led"))
         mixed = named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
         state = written(named.join(mixed, "band"), f"open{turn}")
         release(source.sparkSession)
@@ -236,7 +240,7 @@ def clusters(source: DataFrame, documents: DataFrame, paras: DataFrame, percent:
     named = written(named, "classes")
     across = named.groupBy("component").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("component")
     out = written(named.select("digest", "component").join(across, "component"), "clusters")
-    discard(kinds, pairs_of, cells, arrays, state, named)
+    discard(kinds, cells, arrays, state, named)
     return out
 
 
@@ -246,11 +250,11 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(met, "digest").withColumnRenamed("digest", "component")
 
 
-def _with_stays(marks: DataFrame) -> DataFrame:
-    """marks and whether each is the first place of its component: of the smallest key, nulls last."""
+def _with_stays(marks: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """marks, or those of them asked for, and whether each is the first place of its component: of the smallest key, nulls last."""
     first = marks.groupBy("component").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "row", "start")).alias("first"))
     first = written(first.select("component", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")), "firsts")
-    return marks.join(first.hint("merge"), "component").select("row", "key", "start", "words", "component", "kind", ((F.col("first_row") == F.col("row")) & (F.col("first_start") == F.col("start"))).alias("stays"))
+    return (marks if asked is None else asked).join(first.hint("merge"), "component").select("row", "key", "start", "words", "component", "kind", ((F.col("first_row") == F.col("row")) & (F.col("first_start") == F.col("start"))).alias("stays"))
 
 
 def _stretches(marks: DataFrame) -> DataFrame:
@@ -310,10 +314,12 @@ def judged_documents(source: DataFrame, percent: int, passage: int) -> DataFrame
     short = _stretches(marks.select("row", "start", "words", "component", "kind")).where((F.col("until") - F.col("since") < passage) & (F.col("kind") == "run")).select("row", "component")
     short = written(short, "short")
     release(source.sparkSession)
-    around = marks.where("kind = 'run'").join(short.select("component").distinct(), "component").select("row", "start").distinct()
+    around = marks.where("kind = 'run'").join(short.select("component").distinct(), "component").select("row", "start")
     windows = written(windows_around(source, documents, around, passage), "windows")
     shared = _shared(windows).select("row", "key", "start", "words", "component", F.lit("run").alias("kind"))
-    more = _with_stays(written(shared, "shared")).join(short.select("row").distinct(), "row", "left_semi")
+    shared, asked = written(shared, "shared"), short.select("row").distinct()
+    asked = shared.join(F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked, "row", "left_semi")
+    more = _with_stays(shared, asked)
     marks = marks.unionByName(written(more, "more"))
     discard(windows)
 
