@@ -169,3 +169,20 @@ def test_a_text_is_cut_alike_whatever_stands_beside_it():
         alone, mine = Paragraphs(pa.array([text])), together.row == row
         assert alone.start.tolist() == (together.start - begins)[mine].tolist()
         assert alone.digest.tolist() == together.digest[mine].tolist()
+
+
+def test_results_are_the_same_beyond_every_bound_of_a_broadcast(spark, monkeypatch):
+    own = random.Random(11)
+    passages = [prose(7) for _ in range(3)]
+    texts = [f"{prose(own.randrange(1, 6))} {own.choice(passages)} {prose(2)}" for _ in range(9)] + [prose(8), None, "", prose(30)]
+    source = table(spark, [*texts, texts[0]], ids=[*range(len(texts)), 0])
+
+    def judged():
+        return sorted(map(repr, paragraph_dedup.repeated_passages(source).collect()))
+
+    want = judged()
+    assert any("has_repeat=True" in r for r in want) and any("has_repeat=False" in r for r in want)
+    monkeypatch.setattr(paragraph_dedup, "BROADCAST_ROWS", 0)  # the texts asked for are chosen by their hashes
+    assert judged() == want
+    monkeypatch.setattr(paragraph_dedup, "ADDRESS_ROWS", 0)  # all texts meet their places by a shuffle
+    assert judged() == want
