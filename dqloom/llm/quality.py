@@ -14,10 +14,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ALNUM, NON_SPACE, Words, bounded_batches, fresh, mix64, text_slices, written
+from .common import ALNUM, NON_SPACE, Words, bounded_batches, fresh, mix64, text_bytes, text_slices, tidy
 
 BUCKETS = 1 << 17  # hashed words of the text view
 META_BUCKETS = 1 << 12
@@ -26,34 +26,38 @@ LABELLED_MOST = 5000  # labelled documents that are fitted on
 SEEN_LEAST = 4  # documents of the sample that a feature occurs in to be used
 ROUNDS, SURE, ADDED_MOST = 3, 0.97, 500
 METADATA = ("source", "lang")
+PUNCT = np.isin(np.arange(256), list(b"!\"#$%&()*+/:;<=>?@[\\]^_{|}~"))
 
 
 def text_view(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row offsets and hashed distinct words of each text, as they stand between blanks and as runs of letters and digits, and its style in STATS numbers."""
     w, plain = Words(col, NON_SPACE), Words(col, ALNUM)
     rows, n = w.rows, np.maximum(1, np.diff(w.offsets)).astype(float)
-    both = np.concatenate([w.row, plain.row]).astype(np.int64), np.concatenate([w.hash, mix64(plain.hash ^ np.uint64(7))])
-    cell = np.unique(both[0] * BUCKETS + (both[1] % np.uint64(BUCKETS)).astype(np.int64))
-    row = cell // BUCKETS
-    per = lambda flags: np.bincount(w.row, weights=flags, minlength=rows) / n
-    raw = np.frombuffer(b"".join(x.encode() for x in pa.compute.fill_null(col, "").to_pylist()), np.uint8)
-    size = np.array([len(x.encode()) for x in pa.compute.fill_null(col, "").to_pylist()], np.int64)
-    at = np.repeat(np.arange(rows), size)
-    share = lambda flags: np.bincount(at[flags], minlength=rows) / np.maximum(1, size)
+    spaced = w.row.astype(np.int64) * BUCKETS + (w.hash % np.uint64(BUCKETS)).astype(np.int64)
+    cell = _distinct(np.append(spaced, plain.row.astype(np.int64) * BUCKETS + (mix64(plain.hash ^ np.uint64(7)) % np.uint64(BUCKETS)).astype(np.int64)))
+    raw, offsets = text_bytes(col)
+    size = np.diff(offsets)
+    per = lambda numbers: np.diff(np.append(0, np.cumsum(numbers, dtype=np.int64))[w.offsets]) / n
+    share = lambda flags: np.diff(np.searchsorted(np.flatnonzero(flags), offsets)) / np.maximum(1, size)
     again = np.zeros(len(w.hash), bool)
     again[1:] = (w.hash[1:] == w.hash[:-1]) & (w.row[1:] == w.row[:-1])
-    length = (w.end - w.start).astype(float)
+    length = w.end - w.start
     last = w.data[w.end - 1] if len(w.end) else np.zeros(0, np.uint8)
-    punct = np.isin(raw, np.frombuffer(b"!\"#$%&()*+/:;<=>?@[\\]^_{|}~", np.uint8))
     stats = np.stack(
         [
-            per(again), np.bincount(np.unique(w.row.astype(np.int64) * BUCKETS + (w.hash % np.uint64(BUCKETS)).astype(np.int64)) // BUCKETS, minlength=rows) / n, np.log1p(n) / 5, per(length) / 10, np.sqrt(np.maximum(0, per(length**2) - per(length) ** 2)) / 10,
-            per(np.isin(last, [46, 63])), per(np.isin(last, [44, 59, 58])), per(last == 33), share((raw >= 65) & (raw <= 90)), share((raw >= 48) & (raw <= 57)),
-            share(punct), share(raw >= 128), share(raw == 10) * 20, share(raw == 124) * 5,
+            per(again), np.diff(np.searchsorted(_distinct(spaced), np.arange(rows + 1) * BUCKETS)) / n, np.log1p(n) / 5, per(length) / 10, np.sqrt(np.maximum(0, per(length**2) - per(length) ** 2)) / 10,
+            per((last == 46) | (last == 63)), per((last == 44) | (last == 59) | (last == 58)), per(last == 33), share(raw - np.uint8(65) < 26), share(raw - np.uint8(48) < 10),
+            share(PUNCT[raw]), share(raw >= 128), share(raw == 10) * 20, share(raw == 124) * 5,
         ],
         axis=1,
     )
-    return np.searchsorted(row, np.arange(rows + 1)), cell % BUCKETS, stats
+    return np.searchsorted(cell, np.arange(rows + 1) * BUCKETS), cell % BUCKETS, stats
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """As np.unique, by a sort, which is faster here than its table of hashes."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
 
 
 def metadata_view(frame: pd.DataFrame, columns: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,9 +94,9 @@ def fit_linear(offsets, index, stats, y, weight, buckets: int, steps: int = 120,
     mean, scale = (stats.mean(axis=0), stats.std(axis=0) + 1e-6) if stats.shape[1] else (np.zeros(0), np.ones(0))
     x = np.clip((stats - mean) / scale, -5, 5)
     used = np.bincount(index, minlength=buckets) >= SEEN_LEAST
-    keep = used[index]
+    keep, names = used[index], np.flatnonzero(used)
     row = np.repeat(np.arange(n), np.diff(offsets))[keep]
-    names, index = np.unique(index[keep], return_inverse=True)
+    index = (np.cumsum(used) - 1)[index[keep]]
     share = weight * np.where(y == 1, 0.5 / max(1e-9, (weight * (y == 1)).sum()), 0.5 / max(1e-9, (weight * (y == 0)).sum()))
     # A feature counts by how much more often one class has it, so the many that say nothing don't drown the few that do.
     least = 2 * share.max()
@@ -207,6 +211,17 @@ def _certain(model: Linear, cal: np.ndarray, view) -> np.ndarray:
     return cal[0] * np.clip(model.logits(*view), -30, 30) + cal[1]
 
 
+def _described(part: pa.RecordBatch) -> pa.RecordBatch:
+    """A slice with its text's words, style and size instead of the text. Words and style are bytes, as lists of numbers take ten times the driver's memory."""
+    at = part.schema.get_field_index("text")
+    offsets, index, stats = text_view(part.column(at))
+    index = index.astype(np.int32)
+    words = pa.array([index[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
+    size = pa.compute.fill_null(pa.compute.binary_length(part.column(at)), 0).cast(pa.int64())
+    rest = [(n, part.column(i)) for i, n in enumerate(part.schema.names) if i != at]
+    return pa.RecordBatch.from_arrays([*(c for _, c in rest), words, pa.array([x.tobytes() for x in stats], pa.binary()), size], names=[*(n for n, _ in rest), "words", "stats", "size_"])
+
+
 def _sample(docs: DataFrame, labels: DataFrame, targets: list[str], metadata: list[str], text: str, key: str) -> tuple[pd.DataFrame | None, DataFrame]:
     """Features of a bounded sample of labelled documents, chosen by a hash of their keys; and the other documents."""
     spark = docs.sparkSession
@@ -218,18 +233,12 @@ def _sample(docs: DataFrame, labels: DataFrame, targets: list[str], metadata: li
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
-            at = part.schema.get_field_index("text")
-            offsets, index, stats = text_view(part.column(at))
-            rest = [part.column(i) for i in range(part.num_columns) if i != at]
-            names = [n for n in part.schema.names if n != "text"]
-            words = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(index.astype(np.int32)))
-            size = pa.compute.fill_null(pa.compute.binary_length(part.column(at)), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([*rest, words, pa.array(list(stats), pa.list_(pa.float64())), size], names=[*names, "words", "stats", "size_"])
+            yield _described(part)
 
     ys = [f"y{i}" for i in range(len(targets))]
     ms = [f"m{i}" for i in range(len(metadata))]
     columns = ["key", "text", *ms, *ys]
-    schema = f"key {source.schema['key'].dataType.simpleString()}, {''.join(f'{m} string, ' for m in ms)}{''.join(f'{y} int, ' for y in ys)}words array<int>, stats array<double>, size_ bigint"
+    schema = f"key {source.schema['key'].dataType.simpleString()}, {''.join(f'{m} string, ' for m in ms)}{''.join(f'{y} int, ' for y in ys)}words binary, stats binary, size_ bigint"
     found = rows.select(*columns).mapInArrow(run, schema).withColumn("apart", F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit(11)), F.lit(5)) == 0).withColumn("o", F.xxhash64("key", "size_", "words")).orderBy("o").limit(2 * LABELLED_MOST).collect()
     frame = pd.DataFrame([r.asDict() for r in found])
     return frame if len(frame) and frame["y0"].notna().any() else None, source.join(F.broadcast(known.select("key")), "key", "left_anti").drop("key")
@@ -237,54 +246,68 @@ def _sample(docs: DataFrame, labels: DataFrame, targets: list[str], metadata: li
 
 def _features(frame: pd.DataFrame, metadata: list[str]):
     """Both views of rows of words, stats, metadata and size."""
-    lists = [np.asarray(x, np.int64) for x in frame["words"]]
-    words = (np.append(0, np.cumsum([len(x) for x in lists])).astype(np.int64), np.concatenate([*lists, np.zeros(0, np.int64)]), np.array(frame["stats"].to_list(), float).reshape(len(frame), STATS))
+    ends = np.cumsum([len(x) // 4 for x in frame["words"]])
+    stats = np.frombuffer(b"".join(frame["stats"]), np.float64).reshape(len(frame), STATS)
+    words = np.append(0, ends).astype(np.int64), np.frombuffer(b"".join(frame["words"]), np.int32), stats
     return words, (*metadata_view(frame, metadata), np.zeros((len(frame), 0)))
 
 
+def _top(z: np.ndarray, o: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The largest z and their o, of an o that repeats the largest alone."""
+    at = np.lexsort((o, -z))
+    at = at[np.sort(np.unique(o[at], return_index=True)[1])[:most]]
+    return z[at], o[at]
+
+
 def _surest(others: DataFrame, states: dict[str, tuple], ms: list[str], most: int) -> dict[str, list]:
-    """For each target and view, of all other documents the most that the view is surest of, half of each class: the other view's features and the labels."""
+    """For each target and view, of all other documents the most that the view is surest of, half of each class: the other view's features and the labels.
+
+    All documents are scored, but only a hash and a score of the surest of each task move; features are made again for those that were chosen of all.
+    """
+    spark = others.sparkSession
     groups = [(t, v, c) for t in states for v in (0, 1) for c in (0, 1)]
-    shared = others.sparkSession.sparkContext.broadcast({t: (models, cal) for t, (_, models, cal) in states.items()})
+    shared = spark.sparkContext.broadcast({t: (models, cal) for t, (_, models, cal) in states.items()})
     least, half = np.log(SURE / (1 - SURE)), most // 2
+    named = others.withColumn("o", F.xxhash64("text", *ms, *[F.col(c).isNull() for c in ("text", *ms)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[dict] = [{} for _ in groups]
-
-        def trim(g: int, size: int):
-            if len(best[g]) > size:
-                best[g] = dict(sorted(best[g].items(), key=lambda x: (-x[1][0], x[0]))[:half])
-
+        best = [(np.zeros(0), np.zeros(0, np.int64)) for _ in groups]
         for part in text_slices(batches, "text"):
             col = part.column(part.schema.get_field_index("text"))
-            words = text_view(col)
             frame = pd.DataFrame({m: part.column(part.schema.get_field_index(m)).to_pylist() for m in ms}, index=range(part.num_rows))
             frame["size_"] = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_pylist()
-            views = words, (*metadata_view(frame, ms), np.zeros((part.num_rows, 0)))
-            order = part.column(part.schema.get_field_index("o")).to_pylist()
+            views = text_view(col), (*metadata_view(frame, ms), np.zeros((part.num_rows, 0)))
+            order = part.column(part.schema.get_field_index("o")).to_numpy()
             scores = {(t, v): _certain(shared.value[t][0][v], shared.value[t][1][v], views[v]) for t in states for v in (0, 1)}
             for g, (t, v, c) in enumerate(groups):
                 z = scores[t, v] if c else -scores[t, v]
-                for i in np.flatnonzero(z >= least).tolist():
-                    best[g][order[i]] = (float(z[i]), words[1][words[0][i] : words[0][i + 1]].tolist(), words[2][i].tolist(), int(frame["size_"].iat[i]), *(frame[m].iat[i] for m in ms))
-                trim(g, 2 * half)
-        for g in range(len(groups)):
-            trim(g, half)
-            rows = [(g, o, *x) for o, x in best[g].items()]
-            if rows:
-                kinds = [pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.int64(), *[pa.string()] * len(ms)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["g", "o", "z", "words", "stats", "size_", *ms])
-
-    schema = "g int, o bigint, z double, words array<int>, stats array<double>, size_ bigint" + "".join(f", {m} string" for m in ms)
-    near = written(others.withColumn("o", F.xxhash64("text", *ms)).mapInArrow(run, schema), "sure")
-    out: dict[str, list] = {t: [[], []] for t in states}
-    for g, (t, v, c) in enumerate(groups):
-        rows = near.where(F.col("g") == g).orderBy(F.desc("z"), "o").limit(2 * half).collect()
-        out[t][v] += [(r.asDict(), c) for r in {r["o"]: r for r in rows[::-1]}.values()][-half:]
+                sure = np.flatnonzero(z >= least)
+                best[g] = _top(np.append(best[g][0], z[sure]), np.append(best[g][1], order[sure]), half)
+        for g, (z, o) in enumerate(best):
+            if len(o):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(o), g), pa.int32()), pa.array(o), pa.array(z)], names=["g", "o", "z"])
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for part in text_slices(batches, "text"):
+            new = [o not in seen and not seen.add(o) for o in part.column(part.schema.get_field_index("o")).to_pylist()]
+            if any(new):
+                yield _described(part.filter(pa.array(new)))
+
+    near = named.mapInArrow(run, "g int, o bigint, z double").groupBy("g", "o").agg(F.max("z").alias("z"))
+    place = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("z"), "o"))
+    chosen = near.withColumn("place", place).where(F.col("place") <= half).orderBy("g", "place").collect()
+    wanted = F.broadcast(spark.createDataFrame([(o,) for o in sorted({r["o"] for r in chosen})], "o bigint"))
+    schema = "".join(f"{m} string, " for m in ms) + "o bigint, words binary, stats binary, size_ bigint"
+    rows = named.select("text", *ms, "o").join(wanted, "o", "left_semi").select("text", *ms, "o").mapInArrow(describe, schema).dropDuplicates(["o"]).collect() if chosen else []
+    known = {r["o"]: r.asDict() for r in rows}
+    out: dict[str, list] = {t: [None, None] for t in states}
     for t in states:
         for v in (0, 1):
-            found = out[t][v]
-            out[t][v] = (_features(pd.DataFrame([r for r, _ in found]), ms)[1 - v], np.array([c for _, c in found])) if found else None
+            found = [(known[r["o"]], groups[r["g"]][2]) for r in chosen if groups[r["g"]][:2] == (t, v)]
+            if found:
+                out[t][v] = _features(pd.DataFrame([x for x, _ in found]), ms)[1 - v], np.array([c for _, c in found])
+    shared.destroy()
     return out
 
 
@@ -311,6 +334,7 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], metadata: list[s
                 states[t] = x.send(found[t])
             except StopIteration as end:
                 models[t] = end.value
+        tidy()
     return models
 
 
