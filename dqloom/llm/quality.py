@@ -23,6 +23,7 @@ BUCKETS = 1 << 17  # hashed words of the text view
 META_BUCKETS = 1 << 12
 STATS = 14
 LABELLED_MOST = 5000  # labelled documents that are fitted on
+FIT_WORDS = 1 << 20  # words of the sample that a step of a fit takes at once
 SEEN_LEAST = 4  # documents of the sample that a feature occurs in to be used
 ROUNDS, SURE, ADDED_MOST = 3, 0.97, 500
 METADATA = ("source", "lang")
@@ -95,18 +96,27 @@ def fit_linear(offsets, index, stats, y, weight, buckets: int, steps: int = 120,
     x = np.clip((stats - mean) / scale, -5, 5)
     used = np.bincount(index, minlength=buckets) >= SEEN_LEAST
     keep, names = used[index], np.flatnonzero(used)
-    row = np.repeat(np.arange(n), np.diff(offsets))[keep]
-    index = (np.cumsum(used) - 1)[index[keep]]
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(offsets))[keep]
+    index = (np.cumsum(used, dtype=np.int32) - 1)[index[keep]]
+    del keep
+    cuts = range(0, len(index), FIT_WORDS)  # parts, as a step's numbers would take several times what the words take
+
+    def by_row(weights: np.ndarray) -> np.ndarray:
+        return sum((np.bincount(row[a : a + FIT_WORDS], weights=weights[index[a : a + FIT_WORDS]], minlength=n) for a in cuts), np.zeros(n))
+
+    def by_name(weights: np.ndarray) -> np.ndarray:
+        return sum((np.bincount(index[a : a + FIT_WORDS], weights=weights[row[a : a + FIT_WORDS]], minlength=len(names)) for a in cuts), np.zeros(len(names)))
+
     share = weight * np.where(y == 1, 0.5 / max(1e-9, (weight * (y == 1)).sum()), 0.5 / max(1e-9, (weight * (y == 0)).sum()))
     # A feature counts by how much more often one class has it, so the many that say nothing don't drown the few that do.
     least = 2 * share.max()
-    ratio = np.log((np.bincount(index, weights=(share * (y == 1))[row], minlength=len(names)) + least) / (np.bincount(index, weights=(share * (y == 0))[row], minlength=len(names)) + least))
+    ratio = np.log((by_name(share * (y == 1)) + least) / (by_name(share * (y == 0)) + least))
     p = np.zeros(len(names) + x.shape[1] + 1)
     k, m, v = len(names), np.zeros(len(p)), np.zeros(len(p))
     for step in range(1, steps + 1):
-        z = np.bincount(row, weights=(p[:k] * ratio)[index], minlength=n) + x @ p[k:-1] + p[-1]
+        z = by_row(p[:k] * ratio) + x @ p[k:-1] + p[-1]
         g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
-        grad = np.concatenate([ratio * np.bincount(index, weights=g[row], minlength=k), x.T @ g, [g.sum()]]) + decay * np.append(p[:-1], 0)
+        grad = np.concatenate([ratio * by_name(g), x.T @ g, [g.sum()]]) + decay * np.append(p[:-1], 0)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     weights = np.zeros(buckets)
@@ -144,9 +154,8 @@ class CoTrained:
 
 def _take(view, rows):
     offsets, index, stats = view
-    size = np.diff(offsets)[rows]
-    ends = np.cumsum(size)
-    return np.append(0, ends), index[np.repeat(offsets[:-1][rows] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], stats[rows]
+    found = [index[a:b] for a, b in zip(offsets[:-1][rows].tolist(), offsets[1:][rows].tolist(), strict=True)]
+    return np.append(0, np.cumsum(np.diff(offsets)[rows])), np.concatenate([index[:0], *found]), stats[rows]
 
 
 def _joined(a, b):
@@ -320,6 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, targets: list[str], metadata: list[s
         return models
     ms = [f"m{i}" for i in range(len(metadata))]
     words, meta = _features(frame, ms)
+    frame = frame.drop(columns=["words", "stats"])
     learners = {}
     for i, target in enumerate(targets):
         y = frame[f"y{i}"].fillna(-1).to_numpy().astype(int)

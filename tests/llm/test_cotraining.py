@@ -57,3 +57,21 @@ def test_the_sample_takes_few_bytes_a_word_of_the_driver(spark):
     assert len(words[1]) > 500_000 and most < 24 * len(words[1])
     one = quality.text_view(pa.array([rows[frame["key"][0]][1]]))
     assert words[1][: words[0][1]].tolist() == one[1].tolist() and words[2][0].tolist() == one[2][0].tolist()
+
+
+def test_a_fit_takes_its_words_in_parts(monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 9000, 1500)).astype(np.int32) for _ in range(1500)]
+    offsets, index = np.append(0, np.cumsum([len(x) for x in rows])), np.concatenate(rows)
+    stats, y = rng.normal(size=(1500, quality.STATS)), rng.integers(0, 2, 1500)
+    tracemalloc.start()
+    whole = quality.fit_linear(offsets, index, stats, y, np.ones(1500), quality.BUCKETS, steps=3)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(index) > 2_000_000 and most < 24 * len(index)
+    monkeypatch.setattr(quality, "FIT_WORDS", 100_003)
+    parts = quality.fit_linear(offsets, index, stats, y, np.ones(1500), quality.BUCKETS, steps=3)
+    assert np.allclose(whole.weights, parts.weights) and np.allclose(whole.dense, parts.dense) and np.isclose(whole.bias, parts.bias)
+    taken = quality._take((offsets, index, stats), np.array([7, 3]))
+    assert taken[1].tolist() == [*rows[7].tolist(), *rows[3].tolist()] and taken[0].tolist() == [0, len(rows[7]), len(rows[7]) + len(rows[3])]
+    assert len(quality._take((offsets, index, stats), np.zeros(0, int))[1]) == 0
